@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from docmill.plans import dataset_queries, record_queries, statistics_queries, text_queries  # noqa: F401  registration
+from docmill.plans.catalog import QUERIES, SQL, Query
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-
-def str10_text_quality_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.groupBy("lang").agg(F.count("*").alias("docs"))
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"str10_text_quality_by_lang": str10_text_quality_by_lang}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"str10_text_quality_by_lang": "SELECT lang, count(*) AS docs FROM documents GROUP BY lang"}
+    return dict(SQL)
