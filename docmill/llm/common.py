@@ -1,47 +1,15 @@
-"""Shared helpers of the training-data operators: shared storage, column selection, text batches."""
+"""Shared helpers of the training-data operators: column selection and text batches."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docmill.storage import drop_stored, shared_dir, stored
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session names none (tests on one machine) a temporary folder is set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="docmill-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` once as a table in the shared folder and return a scan of it.
-
-    It cuts lineage without the second computation that ``checkpoint()`` costs, and survives lost executors.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/docmill-{uuid.uuid4().hex}/{name}"
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
-
-
-def drop_stored(spark: SparkSession, df: DataFrame) -> None:
-    """Remove the files of a table made by :func:`stored` that nothing needs any more."""
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/docmill-" in path:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+__all__ = ["drop_stored", "plain_texts", "shared_dir", "slim", "stored", "table"]
 
 
 def slim(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -57,14 +25,3 @@ def plain_texts(column) -> list[str]:
     """Strings of an Arrow or pandas column; null counts as the empty text."""
     values = column.to_pylist() if hasattr(column, "to_pylist") else column.tolist()
     return ["" if v is None else v for v in values]
-
-
-def record_chunks(rows: Iterable[tuple], size: int) -> Iterator[list[tuple]]:
-    part: list[tuple] = []
-    for row in rows:
-        part.append(row)
-        if len(part) >= size:
-            yield part
-            part = []
-    if part:
-        yield part
