@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -21,3 +24,15 @@ def get_spark(app: str = "docmill", master: str | None = None, **more: str) -> S
     for key, value in {**SETTINGS, **more}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def reachable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers on this machine import the package wherever the driver was started.
+
+    On a cluster the package is shipped with ``--py-files``; there the added path does no harm.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, known) if p)
+    return spark
