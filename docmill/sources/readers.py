@@ -25,7 +25,7 @@ def read_jsonl(spark: SparkSession, path: str, pattern: str = "*.jsonl", recursi
     A file is read whole by one task so that lines can be counted; a folder of many files is read by many.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
-    files = reader.load(path).select(F.col("path").alias("file"), F.decode("content", F.lit("UTF-8")).alias("body"))
+    files = reader.load(path).select(F.col("path").alias("file"), F.decode("content", "UTF-8").alias("body"))
     lines = files.select("file", F.posexplode(F.split(unix_lines(F.col("body")), "\n")).alias("line", "value"))
     return parsed_lines(lines.withColumn("line", F.col("line") + 1))
 
