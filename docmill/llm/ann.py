@@ -188,7 +188,7 @@ def search(table: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id
     if not short.isEmpty():
         slices = max(1, -(-top["n"] // SLICE))
         whole = kept.select(F.col("vec_id").alias("id"), "vec", F.pmod(F.xxhash64("vec_id"), F.lit(slices)).cast("long").alias("bucket"))
-        again = short.select(F.col("query").alias("id"), "vec", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long").alias("bucket"))
+        again = short.select(F.col("query").alias("id"), "vec", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("bucket"))
         part = F.col("bucket").cast("int")
         more = whole.withColumn("part", part).groupBy("part").cogroup(again.withColumn("part", part).groupBy("part")).applyInPandas(_scan(k + 1), _FOUND)
         found = found.unionAll(more)
