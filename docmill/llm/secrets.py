@@ -42,8 +42,12 @@ ENCODINGS = {
 }
 #: Per mille of the letters a to z in ordinary Latin-script writing.
 LETTER_SHARES = [82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1]
-#: Chance that the next character of ordinary writing is of another class than the last.
-SWITCH = 0.05
+#: Chances of the class of the next character in ordinary writing, names in mixed case among it: small letters, capitals,
+#: digits and joining marks (a, A, 0, -) after each of them.
+CLASS_CHANCES = {
+    "a": {"a": 0.83, "A": 0.1, "0": 0.02, "-": 0.05}, "A": {"a": 0.5, "A": 0.44, "0": 0.02, "-": 0.04},
+    "0": {"a": 0.04, "A": 0.04, "0": 0.87, "-": 0.05}, "-": {"a": 0.5, "A": 0.2, "0": 0.1, "-": 0.2},
+}
 BATTERY_LEVEL = 0.001
 FDR = 0.001
 _INDEX = {name: {c: i for i, c in enumerate(alphabet)} for name, alphabet in ENCODINGS.items()}
@@ -94,7 +98,7 @@ def writing_evidence(token: str, encoding: str) -> float:
     out, last = 0.0, None
     for c in token.rstrip("="):
         kind = "a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if c.isdigit() else "-"
-        move = math.log(1 - SWITCH) if kind == last else math.log(SWITCH / 3) if last else math.log(0.25)
+        move = math.log(CLASS_CHANCES[last][kind] if last else 0.25)
         inside = math.log(LETTER_SHARES[ord(c.lower()) - 97] / total) if kind in "aA" else -math.log(10 if kind == "0" else 4)
         out += uniform - move - inside
         last = kind
