@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docmill.functions.records import is_object, kind
-from docmill.functions.text import is_blank, unix_lines
+from docmill.functions.text import is_blank
 
 
 def parsed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -22,12 +22,18 @@ def parsed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 def read_jsonl(spark: SparkSession, path: str, pattern: str = "*.jsonl", recursive: bool = True) -> DataFrame:
     """Rows ``file, line, value, rec, bad`` of JSON lines files; ``line`` counts from 1 and includes blank lines.
 
-    A file is read whole by one task so that lines can be counted; a folder of many files is read by many.
+    Files are split like any text: lines are counted in each block of a file, and a prefix sum over a file's blocks (one
+    row a block) gives each block its offset.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
-    files = reader.load(path).select(F.col("path").alias("file"), F.decode("content", "UTF-8").alias("body"))
-    lines = files.select("file", F.posexplode(F.split(unix_lines(F.col("body")), "\n")).alias("line", "value"))
-    return parsed_lines(lines.withColumn("line", F.col("line") + 1))
+    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
+    block = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__start")]
+    lines = reader.text(path).select(*block, "value", F.monotonically_increasing_id().alias("__at"))
+    before = Window.partitionBy("file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = lines.groupBy("file", "__start").agg(F.count("*").alias("__n"))
+    offsets = sizes.select("file", "__start", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    nth = F.row_number().over(Window.partitionBy("file", "__start").orderBy("__at"))
+    numbered = lines.withColumn("__nth", nth).join(offsets, ["file", "__start"])
+    return parsed_lines(numbered.select("file", (F.col("__before") + F.col("__nth")).alias("line"), "value"))
 
 
 def good_records(rows: DataFrame) -> DataFrame:
