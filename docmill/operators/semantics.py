@@ -133,7 +133,8 @@ def annotate(chunks: DataFrame, make_backend: Callable[[], Callable[[str], str |
     asked = read.withColumn("prompt", F.when(F.col("mode") == "llm", annotation_prompt(F.col("title"), F.col("llm_text"), F.col("prev_text"), F.col("next_text"))))
     answered = with_model(asked, "prompt", "answer", make_backend).withColumn("raw", json_object(F.col("answer")))
     fields = normalized_semantics(F.col("raw"))
-    out = answered.select("*", *[c.alias(name) for name, c in fields.items()])
+    # The annotation's fields take the place of what the record says of the same name.
+    out = answered.select(*[c for c in answered.columns if c not in fields], *[c.alias(name) for name, c in fields.items()])
     out = out.withColumn("mode", F.when((F.col("mode") == "llm") & F.col("raw").isNull(), "failed").otherwise(F.col("mode")))
     out = out.withColumn("trust_level", F.coalesce("known_trust", F.when(F.col("mode") != "failed", F.col("trust_level"))))
     out = out.withColumn("summary_short", after_rules(F.col("summary_short"), F.col("content"), F.col("has_heading"), F.col("has_table")))
