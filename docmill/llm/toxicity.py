@@ -3,8 +3,9 @@
 Inputs of a word are the weight of the word itself, the strongest, weakest and summed weights of its byte n-grams (with
 its left edge), and its length. Weights are shrunken log-odds over the labelled sample, kept only where significant, and
 found through exact 64-bit hashes. A text is read in windows of ``WINDOW`` words, each sharing a quarter with the next; the network scores
-every window of the whole text and the text has the largest score. Training is in numpy: windows are chosen again in each
-round by the network itself (multiple instances), and the inputs of a training text come from the other folds' weights.
+every window of the whole text, and the text's score is a logistic function of its largest window score, the mean of its three
+largest and its number of windows. Training is in numpy: windows are chosen again in each round by the network itself
+(multiple instances), and the inputs of a training text come from the other folds' weights.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from docmill.llm.common import plain_texts, slim
 from docmill.llm.textbytes import Words, groups, labelled_sample
 
 WINDOW, STRIDE, HIDDEN, INPUTS = 32, 24, 8, 5
-GRAMS = (4, 5)
+GRAMS = (4, 6, 9)
 #: Labelled rows of each class that are learned from at most.
 SAMPLE_PER_CLASS = 800
-FOLDS, LEAST_DOCS, LEAST_Z, LEXICON = 4, 3, 2.5, 30_000
+FOLDS, LEAST_DOCS, LEAST_Z, LEXICON = 4, 3, 2.25, 30_000
 #: ASCII but for letters parts words; letters are lower-cased before.
 TABLE = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -225,8 +226,8 @@ def _lexicon(keys: np.ndarray, counts: np.ndarray, totals: np.ndarray) -> Lexico
 class Model:
     """What scores texts: the lexicon and the network, or one constant where one class had no rows to learn from."""
 
-    def __init__(self, lexicon: Lexicon | None, net: Network | None, constant: float = 0.0):
-        self.lexicon, self.net, self.constant = lexicon, net, constant
+    def __init__(self, lexicon: Lexicon | None, net: Network | None, constant: float = 0.0, pooling: np.ndarray | None = None):
+        self.lexicon, self.net, self.constant, self.pooling = lexicon, net, constant, pooling
 
     def score(self, texts: list[str]) -> np.ndarray:
         out = np.full(len(texts), self.constant)
@@ -235,12 +236,33 @@ class Model:
         for first, raws in groups([t.lower() for t in texts]):
             w = Words(raws, TABLE)
             logit = window_logits(self.net, word_inputs(w, self.lexicon), w)
-            best = np.full(len(raws), -np.inf, np.float32)
-            np.maximum.at(best, windows(w)[2], logit)
-            out[first : first + len(raws)] = _sigmoid(best.astype(np.float64))
+            out[first : first + len(raws)] = _sigmoid(text_inputs(logit, windows(w)[2], len(raws)) @ self.pooling)
         return out
 
 
+def text_inputs(logit: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """For each text a one, its largest window score, the mean of its three largest, and the logarithm of its windows."""
+    order = np.lexsort((-logit, text))
+    place = np.arange(len(order)) - np.searchsorted(text[order], text[order])
+    top = order[place < 3]
+    count = np.bincount(text, minlength=n)
+    mean = np.bincount(text[top], weights=logit[top], minlength=n) / np.minimum(count, 3)
+    return np.stack([np.ones(n), logit[order[place == 0]], mean, np.log(count)], axis=1)
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 30) -> np.ndarray:
+    """Weights of a ridge logistic regression with classes of equal weight (Newton's method)."""
+    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    w = np.zeros(x.shape[1])
+    w[1] = 1.0
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        grad = x.T @ (weight * (p - y)) / len(y) + ridge * (w - np.eye(len(w))[1])
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x / len(y) + ridge * np.eye(len(w))
+        w = w - np.linalg.solve(hess, grad)
+    return w
+
+
 def window_logits(net: Network, x: np.ndarray, w: Words, size: int = 4096) -> np.ndarray:
     firsts, sizes, _ = windows(w)
     return np.concatenate([net.forward(x, firsts[i : i + size], sizes[i : i + size]) for i in range(0, len(firsts), size)])
@@ -297,7 +319,9 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 4, seed: int = 7) -> M
                     yield net.gradients(((_sigmoid(out) - target[part]) * weight[part] / len(part)).astype(np.float32), kept)
 
         _adam(net, steps())
-    return Model(_lexicon(keys, counts.sum(axis=0), totals.sum(axis=0)), net)
+    logit = np.concatenate([net.forward(x_all, firsts[i : i + 4096], sizes[i : i + 4096]) for i in range(0, len(firsts), 4096)])
+    pooling = logistic(text_inputs(logit, owner, len(views)), label)
+    return Model(_lexicon(keys, counts.sum(axis=0), totals.sum(axis=0)), net, pooling=pooling)
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
