@@ -36,11 +36,10 @@ def shard_documents(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id",
     """
     if n_shards < 1:
         raise ValueError("n_shards must be at least 1")
-    order = ["doc_id", "text_hash"]
-    blocks = stored(
-        _sized(docs, id_col, text_col).repartitionByRange(*[F.col(c).asc_nulls_first() for c in order]).withColumn("block", F.spark_partition_id()),
-        "blocks",
-    )
+    # The number of the row where it was read parts rows that are alike, so that no range must hold all of them.
+    order = ["doc_id", "text_hash", "read_at"]
+    sized = _sized(docs, id_col, text_col).withColumn("read_at", F.monotonically_increasing_id())
+    blocks = stored(sized.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order]).withColumn("block", F.spark_partition_id()), "blocks")
     totals = blocks.groupBy("block").agg(F.sum("size").alias("block_size"), F.count("*").alias("block_rows"))
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
