@@ -200,9 +200,9 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
 def place(pieces_df: DataFrame, capacity: int = CAPACITY, buckets: int | None = None) -> DataFrame:
     """Adds ``sequence_id, offset`` to rows with ``doc_id, piece, length`` (at most ``capacity``)."""
     spark = pieces_df.sparkSession
-    rows = stored(pieces_df, "pieces")
     n = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(n)).cast("int"))
+    # Dealt by where a row was made, so that rows that are alike spread over the buckets, and written before it is used twice.
+    bucketed = stored(pieces_df.withColumn("bucket", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")), "pieces")
     counts = stored(bucketed.groupBy("length", "bucket").agg(F.count("*").alias("n")), "counts")  # at most capacity * buckets rows
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ranks_before"))
@@ -224,9 +224,9 @@ def place(pieces_df: DataFrame, capacity: int = CAPACITY, buckets: int | None =
     ranked = (
         bucketed.withColumn("nth", F.row_number().over(inside))
         .join(offsets, ["length", "bucket"])
-        .select(*rows.columns, (F.col("ranks_before") + F.col("nth") - 1).cast("long").alias("rank"))
+        .select(*pieces_df.columns, (F.col("ranks_before") + F.col("nth") - 1).cast("long").alias("rank"))
     )
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", sequence_id long, offset long"
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces_df.schema) + ", sequence_id long, offset long"
     return ranked.mapInArrow(run, schema)
 
 
