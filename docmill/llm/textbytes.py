@@ -116,7 +116,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     for value in (0, 1):
         part = rows.where(F.col(label) == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionAll(part)
-    # At most 2 * per_class rows of two numbers.
-    found = slim(docs, list(dict.fromkeys(["doc_id", *columns]))).join(F.broadcast(chosen), "doc_id").collect()
-    once = {r["doc_id"]: r for r in found}
-    return [once[i] for i in sorted(once)]
+    # At most 2 * per_class rows of two numbers are broadcast, and one document for each of them is collected.
+    found = slim(docs, ["doc_id", *columns]).join(F.broadcast(chosen), "doc_id")
+    once = found.groupBy("doc_id", label).agg(F.min(F.struct(*columns)).alias("row"))
+    return once.select("doc_id", label, "row.*").orderBy("doc_id").collect()
