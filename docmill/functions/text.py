@@ -30,8 +30,9 @@ TEXT_PARENTS = ("chunk", "data", "payload")
 
 
 def strip(text: Column) -> Column:
-    """Without white space at both ends."""
-    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+    """Without white space at both ends. The pattern runs only where an end has some: it tries every run of blanks."""
+    ends = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    return F.when(F.rlike(ends, F.lit(BLANK)), F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")).otherwise(text)
 
 
 def is_blank(text: Column) -> Column:
@@ -75,14 +76,15 @@ def is_heading(line: Column, stripped: bool = False) -> Column:
 def is_table(line: Column, stripped: bool = False) -> Column:
     """A bar, or three columns parted by two blanks or more."""
     s = line if stripped else strip(line)
-    return F.contains(s, F.lit("|")) | F.rlike(s, F.lit(r"(?U)\S+\s{2,}\S+\s{2,}\S+"))
+    # Few lines hold two blanks together, so the costly pattern is seldom tried.
+    return F.contains(s, F.lit("|")) | (F.rlike(s, F.lit(r"(?U)\s{2}")) & F.rlike(s, F.lit(r"(?U)\S+\s{2,}\S+\s{2,}\S+")))
 
 
 def is_formula(line: Column, stripped: bool = False) -> Column:
     """A mathematical mark beside a letter, or the word equation."""
     s = line if stripped else strip(line)
     marked = F.rlike(s, F.lit("[" + FORMULA_MARKS.replace("^", r"\^") + "]")) & F.rlike(s, F.lit(r"\p{L}"))
-    return marked | F.rlike(s, F.lit(r"(?iU)\b(eq\.?|equation)\b"))
+    return marked | (F.contains(F.lower(s), F.lit("eq")) & F.rlike(s, F.lit(r"(?iU)\b(eq\.?|equation)\b")))
 
 
 def block_type(line: Column, stripped: bool = False) -> Column:
