@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.storage import drop_stored, shared_dir, stored
 
-__all__ = ["drop_stored", "plain_texts", "shared_dir", "slim", "stored", "table"]
+__all__ = ["drop_stored", "plain_texts", "shared_dir", "slices", "slim", "stored", "table"]
 
 
 def slim(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -21,6 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch that are turned into Python objects at a time.
+SLICE_ROWS = 512
+
+
+def slices(batches: Iterable, rows: int = SLICE_ROWS) -> Iterator:
+    """The batches in slices (without copies), so that a worker holds the texts of few rows as Python strings."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def plain_texts(column) -> list[str]:
     """Strings of an Arrow or pandas column; null counts as the empty text."""
     values = column.to_pylist() if hasattr(column, "to_pylist") else column.tolist()

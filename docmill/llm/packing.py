@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docmill.llm.common import plain_texts, slim, stored
+from docmill.llm.common import plain_texts, slices, slim, stored
 
 CAPACITY = 2048
 #: The id that ends every document.
 END_ID = 0
 #: Chunks remembered by a worker before it starts afresh, and the longest chunk remembered.
-CACHE_CHUNKS, CACHE_LONGEST = 300_000, 64
+CACHE_CHUNKS, CACHE_LONGEST = 120_000, 64
 #: How a byte-level tokenizer parts text before merging.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -111,7 +111,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, id_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(tokenizer_file)
         end = np.array([END_ID], "<u4")
-        for batch in batches:
+        for batch in slices(batches):
             row, piece, start, length, crc = [], [], [], [], []
             for k, text in enumerate(plain_texts(batch.column(1))):
                 ids = np.concatenate([tok.ids(text), end])

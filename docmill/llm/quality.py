@@ -11,12 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import plain_texts, slim
+from docmill.llm.common import plain_texts, slices, slim
 from docmill.llm.textbytes import Words, groups, labelled_sample
 from docmill.llm.toxicity import held_out
 
@@ -185,7 +184,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     """Rows ``doc_id, score`` of every whole text; null text counts as empty, a null stated length as the real one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             lengths = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(plain_texts(batch.column(1)), lengths))], names=["doc_id", "score"])
 
@@ -201,9 +200,13 @@ def reject_poor(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs``, all columns, without the documents whose text is predicted poor."""
     model = train(docs, labels)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series, lengths: pd.Series) -> pd.Series:
-        return pd.Series(model.score(plain_texts(texts), lengths.astype(float).to_numpy()))
+    at = docs.columns.index("text")
+    stated = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
-    length = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
-    return docs.where(score(F.col("text"), length) >= THRESHOLD)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            known = batch.column(stated).to_pylist() if stated is not None else [None] * batch.num_rows
+            lengths = np.array([np.nan if n is None else n for n in known], float)
+            yield batch.filter(pa.array(model.score(plain_texts(batch.column(at)), lengths) >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -20,9 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from docmill.llm.common import plain_texts, slim
+from docmill.llm.common import plain_texts, slices, slim
 
 KINDS = ("assign", "access", "hex", "random")
 #: The base patterns.
@@ -162,7 +161,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts: list[list[int]] = [[], [], [], []]
             base_sha, spans = [], []
             for text in plain_texts(batch.column(1)):
@@ -196,12 +195,17 @@ def redact_documents(docs: DataFrame, text_col: str = "text", length_col: str |
     Null texts stay null; texts without secrets stay as they are.
     """
 
-    @F.pandas_udf(StringType())
-    def clean(texts):
-        return texts.map(lambda t: t if t is None else redact(t))
+    at = docs.columns.index(text_col)
+    stated = docs.columns.index(length_col) if length_col and length_col in docs.columns else None
 
-    out = docs.withColumn(text_col, clean(F.col(f"`{text_col}`")))
-    if length_col and length_col in docs.columns:
-        kind = dict(docs.dtypes)[length_col]
-        out = out.withColumn(length_col, F.coalesce(F.char_length(F.col(f"`{text_col}`")).cast(kind), F.col(f"`{length_col}`")))
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = [t if t is None else redact(t) for t in batch.column(at).to_pylist()]
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, batch.column(at).type)
+            if stated is not None:
+                known = batch.column(stated)
+                columns[stated] = pa.array([n if t is None else len(t) for t, n in zip(texts, known.to_pylist(), strict=True)], known.type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)

@@ -25,10 +25,10 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import plain_texts, slim
+from docmill.llm.common import plain_texts, slices, slim
 
 #: Chunks remembered by a worker before it starts afresh.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 200_000
 #: Longest chunk (characters) that is remembered.
 CACHE_LONGEST = 64
 MARK = "▁"
@@ -351,7 +351,7 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
-        for batch in batches:
+        for batch in slices(batches):
             ids, begins, ends = [], [], []
             for text in plain_texts(batch.column(1)):
                 i, b, e = c.encode_spans(text)
@@ -375,7 +375,7 @@ def encoding_digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
-        for batch in batches:
+        for batch in slices(batches):
             n, ids, decoded, spans = [], [], [], []
             end = np.array([c.eos], np.int64)
             for texts in grouped(plain_texts(batch.column(1))):

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import plain_texts, slim, stored
+from docmill.llm.common import plain_texts, slices, slim, stored
 from docmill.llm.components import connected_components
 
 #: Members of a node above which it is factored again.
@@ -85,7 +85,7 @@ def fingerprints(docs: DataFrame, width: int = 3, lanes: int = 1, repeats: bool
     names = [f"f{i}" for i in range(lanes)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             words = np.array([fingerprint_words(t, width, lanes, repeats) for t in plain_texts(batch.column(1))], np.uint64)
             words = words.reshape(-1, lanes).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(words[:, i].copy()) for i in range(lanes))], names=["doc_id", *names])

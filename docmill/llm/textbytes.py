@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docmill.llm.common import slim
 
 #: Bytes of text that are handled in one go.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = np.ones(1, np.uint64)
 

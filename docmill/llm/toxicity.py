@@ -13,12 +13,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import plain_texts, slim
+from docmill.llm.common import plain_texts, slices, slim
 from docmill.llm.textbytes import Words, groups, labelled_sample
 
 WINDOW, STRIDE, HIDDEN, INPUTS = 32, 24, 8, 5
@@ -334,7 +333,7 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """Rows ``doc_id, score`` of every whole text; null counts as empty, repeated rows and null ids are kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(plain_texts(batch.column(1))))], names=["doc_id", "score"])
 
     source = slim(docs, [id_col, text_col]).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -357,8 +356,10 @@ def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs``, all columns, without the documents whose text is predicted toxic."""
     model = train(docs, labels)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(plain_texts(texts)))
+    at = docs.columns.index("text")
 
-    return docs.where(score(F.col("text")) < THRESHOLD)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array(model.score(plain_texts(batch.column(at))) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
