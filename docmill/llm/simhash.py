@@ -295,24 +295,137 @@ def simhash_components(docs: DataFrame, width: int = 3, radius: int = 2, id_col:
     )
 
 
+#: Members, and shingles of all members, of a piece of a candidate component.
+PIECE_ROWS = 1024
+PIECE_SHINGLES = 2_000_000
+
+
+def _marked(docs: DataFrame, width: int, lanes: int) -> DataFrame:
+    """Rows ``doc_id, text_hash, f0.., id, n``: the fingerprint of a text's set of shingles, the set's own hash and size."""
+    names = [f"f{i}" for i in range(lanes)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [np.unique(shingle_hashes(t, width)) for t in plain_texts(batch.column(2))]
+            words = np.array([[_majority(_mixed(s, lane)) for lane in range(lanes)] for s in sets], np.uint64).reshape(-1, lanes).view(np.int64)
+            own = np.array([xxhash.xxh64_intdigest(s.tobytes(), seed=SEED) for s in sets], np.uint64).view(np.int64)
+            columns = [pa.array(words[:, i].copy()) for i in range(lanes)] + [pa.array(own), pa.array([len(s) for s in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["doc_id", "text_hash", *names, "id", "n"])
+
+    return docs.mapInArrow(run, "doc_id long, text_hash long, " + ", ".join(f"{n} long" for n in names) + ", id long, n long")
+
+
+def similar_pairs(words: np.ndarray, sets: list[np.ndarray], first: np.ndarray | None, radius: int, similarity: float) -> np.ndarray:
+    """Smallest index reachable from each member over pairs within ``radius`` whose sets are similar (Jaccard) by ``similarity``.
+
+    With ``first`` (a mask) only pairs of one member inside and one outside it are compared. Pairs that are joined
+    already are passed over, since their similarity changes nothing.
+    """
+    n = len(sets)
+    root = np.arange(n)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    ends = np.cumsum(sizes)
+    _, symbols = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(int(symbols.max()) + 1 if len(symbols) else 0, bool)
+    for i in range(n) if first is None else np.flatnonzero(first):
+        other = np.arange(i + 1, n) if first is None else np.flatnonzero(~first)
+        other = other[root[other] != root[i]]
+        small, large = np.minimum(sizes[i], sizes[other]), np.maximum(sizes[i], sizes[other])
+        other = other[(small + 1e-9 >= similarity * large) & (small > 0)]
+        other = other[_distance(words[i], words[other]) <= radius]
+        if not len(other):
+            continue
+        mine = symbols[ends[i] - sizes[i] : ends[i]]
+        mark[mine] = True
+        for part in np.split(other, np.flatnonzero(np.diff(np.cumsum(sizes[other]) // PIECE_SHINGLES)) + 1):
+            starts = np.cumsum(sizes[part]) - sizes[part]
+            at = np.arange(int(sizes[part].sum())) + np.repeat(ends[part] - sizes[part] - starts, sizes[part])
+            both = np.add.reduceat(mark[symbols[at]].astype(np.int64), starts)
+            near = part[both + 1e-9 >= similarity * (sizes[i] + sizes[part] - both)]
+            if len(near):
+                joined = np.unique(np.append(root[near], root[i]))
+                root[np.isin(root, joined)] = joined[0]
+        mark[mine] = False
+    return root
+
+
+def _verified(lanes: int, radius: int, similarity: float):
+    """Streams rows sorted by block; gives the edges of each block's forest of similar pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def solve(rows: list[tuple]) -> pa.RecordBatch:
+            ids = np.array([r[2] for r in rows], np.int64)
+            words = np.array([r[4:] for r in rows], np.int64).reshape(-1, lanes).view(np.uint64)
+            first = np.array([r[1] for r in rows], bool)
+            root = similar_pairs(words, [np.frombuffer(r[3], np.uint64) for r in rows], None if first.all() else first, radius, similarity)
+            linked = root != np.arange(len(ids))
+            return pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(ids[root[linked]])], names=["a", "b"])
+
+        held: list[tuple] = []
+        for batch in slices(batches):
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and held[0][0] != row[0]:
+                    yield solve(held)
+                    held = []
+                held.append(row)
+        if len(held) > 1:
+            yield solve(held)
+
+    return run
+
+
+def verified_edges(docs: DataFrame, members: DataFrame, width: int, lanes: int, radius: int, similarity: float, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Edges ``a, b`` that span, in each candidate component, the pairs within ``radius`` that are similar by ``similarity``.
+
+    ``members`` has ``id, doc_id, text_hash, n, f0.., component``. A component is dealt into pieces of bounded size, and
+    each piece is compared with itself and every other one in a block of its own, so no pair is left out; a set
+    travels once for each piece of its component.
+    """
+    names = [f"f{i}" for i in range(lanes)]
+    total = members.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    pieces = F.greatest(F.ceil(F.col("members") / piece_rows), F.ceil(F.col("shingles") / PIECE_SHINGLES))
+    wanted = members.join(total.select("component", pieces.alias("pieces")), "component").drop("n")
+    texts = docs.join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash", "id"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            sets = pa.array([np.unique(shingle_hashes(t, width)).tobytes() for t in plain_texts(batch.column(0))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], sets], names=[*batch.schema.names[1:], "shingles"])
+
+    kind = "component long, pieces long, id long, " + ", ".join(f"{n} long" for n in names) + ", shingles binary"
+    sets = texts.select("text", "component", "pieces", "id", *names).mapInArrow(run, kind)
+    sets = sets.withColumn("piece", F.pmod(F.xxhash64("id"), "pieces")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    low, high = F.least("piece", "other"), F.greatest("piece", "other")
+    dealt = sets.select(F.xxhash64("component", low, high).alias("block"), (F.col("piece") == low).alias("first"), "id", "shingles", *names)
+    return dealt.repartition("block").sortWithinPartitions("block").mapInArrow(_verified(lanes, radius, similarity), "a long, b long")
+
+
 def near_duplicate_classes(docs: DataFrame, width: int = 5, similarity: float = 0.8, recall: float = 0.99, id_col: str = "doc_id", text_col: str = "text", lanes: int = 4) -> DataFrame:
     """Rows ``doc_id, class_id`` of documents whose sets of ``width``-word shingles are similar (Jaccard) by ``similarity``.
 
     The SimHash has ``64 * lanes`` bits over the distinct shingles. Two sets of equal size and Jaccard similarity J have
     cosine 2J / (1 + J), and a bit differs with the angle's share of a half turn; the radius lies one standard deviation
     above the expected difference at ``similarity``. Upper nodes are random choices of bits, wide enough that unlike
-    documents seldom share one and as many as give a pair at exactly ``similarity`` the wanted recall.
+    documents seldom share one and as many as give a pair at exactly ``similarity`` the wanted recall. The index only
+    proposes: inside its components every pair within the radius is held against the exact Jaccard similarity of the
+    shingle sets, and classes are the components of the pairs that pass. Equal sets are one entry.
     Texts without words are one class. Null text counts as empty, rows with null ids have a null class.
     """
     bits = 64 * lanes
     differ = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     radius = int(bits * differ + np.sqrt(bits * differ * (1 - differ)))
-    marked = stored(fingerprints(docs, width, lanes, False, id_col, text_col), "fingerprints")
+    source = slim(docs, [id_col, text_col]).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    marked = stored(_marked(source.select("doc_id", "text_hash", "text"), width, lanes), "fingerprints")
     names = [f"f{k}" for k in range(lanes)]
-    distinct = stored(marked.where("doc_id is not null").groupBy(*names).agg(F.min("doc_id").alias("id")), "distinct")
+    some = F.min(F.struct("doc_id", "text_hash")).alias("some")
+    distinct = stored(marked.where("doc_id is not null").groupBy("id", "n", *names).agg(some).select("id", "n", *names, "some.*"), "distinct")
     band = max(16, int(np.ceil(np.log2(max(2, distinct.count())))) - 2)
     count = int(np.ceil(np.log(1 - recall) / np.log1p(-((1 - differ) ** band))))
     levels = [band_masks(bits, band, count, 1), band_masks(bits, 8, 8, 2), band_masks(bits, 8, 8, 3)]
-    components = connected_components(link_edges(distinct, lanes, radius, levels))
-    classes = stored(distinct.join(components.toDF("id", "component"), "id", "left").select(*names, F.coalesce("component", "id").alias("class_id")), "classes")
-    return marked.join(classes, names, "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))
+    candidates = connected_components(link_edges(distinct, lanes, radius, levels))
+    members = stored(distinct.join(candidates.toDF("id", "component"), "id"), "members")
+    components = connected_components(verified_edges(source, members, width, lanes, radius, similarity))
+    classes = distinct.join(components.toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    classes = stored(classes.select("id", "component", "doc_id"), "classes")
+    least = classes.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    return marked.join(classes.select("id", "component"), "id", "left").join(least, "component", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))

@@ -108,3 +108,49 @@ def test_components(spark):
 def test_empty(make_docs):
     assert simhash.simhash_components(make_docs([])).collect() == []
     assert simhash.near_duplicate_classes(make_docs([])).collect() == []
+
+
+def _shared(base, n, keep, rng):
+    """Texts that share the first ``keep`` words of ``base`` and go on with words of their own."""
+    return [" ".join(base[:keep] + [f"{rng.randrange(10**9)}" for _ in range(len(base) - keep)]) for _ in range(n)]
+
+
+def _jaccard(a, b):
+    x, y = (set(simhash.shingle_hashes(t, 5).tolist()) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_texts_below_the_threshold_stay_apart(spark, make_docs):
+    """Templates with pairs at 0.6 to 0.79, and one true near-copy in each group, against brute force."""
+    rng = random.Random(7)
+    texts = []
+    for keep, n in ((180, 40), (170, 40), (160, 60), (152, 60)):
+        base = [f"{rng.randrange(10**9)}" for _ in range(200)]
+        group = _shared(base, n, keep, rng)
+        texts += [*group, group[0] + " one two"]
+    rows = list(enumerate(texts))
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if _jaccard(texts[i], texts[j]) >= 0.8]
+    root = list(range(len(texts)))
+    for _ in pairs:
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+    between = [_jaccard(texts[a], texts[a + 1]) for a in (45, 90, 150)]
+    assert all(0.55 < j < 0.79 for j in between)
+    got = {r["doc_id"]: r["class_id"] for r in simhash.near_duplicate_classes(make_docs(rows)).collect()}
+    assert got == dict(enumerate(root))
+
+
+def test_pieces_of_a_component_are_all_compared(spark):
+    rng = random.Random(8)
+    base = [f"{rng.randrange(10**9)}" for _ in range(100)]
+    texts = [" ".join([*base[:i], f"x{i}", *base[i + 1 :]]) for i in range(20)] + _shared(base, 20, 80, rng)
+    sets = [np.unique(simhash.shingle_hashes(t, 5)) for t in texts]
+    rows = [(i, i, i, len(s), *(w - 2**64 if w >= 2**63 else w for w in simhash.fingerprint_words(t, 5, 4, False)), 0) for i, (t, s) in enumerate(zip(texts, sets))]
+    members = spark.createDataFrame(rows, "id long, doc_id long, text_hash long, n long, f0 long, f1 long, f2 long, f3 long, component long")
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "doc_id long, text_hash long, text string")
+    got = {r["node"]: r["component"] for r in connected_components(simhash.verified_edges(docs, members, 5, 4, 256, 0.8, piece_rows=7)).collect()}
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i in range(len(texts)):
+            root[i] = min(root[j] for j in range(len(texts)) if _jaccard(texts[i], texts[j]) >= 0.8)
+    assert {i: got.get(i, i) for i in range(len(texts))} == dict(enumerate(root))
