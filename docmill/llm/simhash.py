@@ -17,6 +17,7 @@ forests are joined by distributed connected components.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -118,6 +119,28 @@ def band_masks(bits: int, width: int, count: int, seed: int) -> list[list[int]]:
     return [sorted(rng.choice(bits, width, replace=False).tolist()) for _ in range(count)]
 
 
+def radius_of(bits: int, differ: float, deviations: float = 3.0) -> int:
+    """The expected number of differing bits and so many standard deviations."""
+    return int(np.ceil(bits * differ + deviations * np.sqrt(bits * differ * (1 - differ))))
+
+
+def band_count(bits: int, differ: float, radius: int, width: int, recall: float) -> int:
+    """Random choices of ``width`` bits that find a pair whose bits differ with chance ``differ`` with the wanted recall.
+
+    A pair is found if it differs in ``radius`` bits or fewer and agrees on all bits of one choice; the number of
+    differing bits is binomial, and a pair that differs in more of them meets less often.
+    """
+    x = np.arange(bits + 1)
+    chance = np.array([math.comb(bits, k) * differ**k * (1 - differ) ** (bits - k) for k in x.tolist()])
+    meets = np.array([math.comb(bits - k, width) / math.comb(bits, width) for k in x.tolist()])
+    if chance[: radius + 1].sum() <= recall:
+        raise ValueError("the radius alone loses more than the wanted recall allows")
+    count = 1
+    while (chance * (1 - (1 - meets) ** count))[: radius + 1].sum() < recall:
+        count += 1
+    return count
+
+
 def _lane_masks(bits: list[int], lanes: int) -> list[int]:
     out = [0] * lanes
     for bit in bits:
@@ -404,23 +427,23 @@ def near_duplicate_classes(docs: DataFrame, width: int = 5, similarity: float =
     """Rows ``doc_id, class_id`` of documents whose sets of ``width``-word shingles are similar (Jaccard) by ``similarity``.
 
     The SimHash has ``64 * lanes`` bits over the distinct shingles. Two sets of equal size and Jaccard similarity J have
-    cosine 2J / (1 + J), and a bit differs with the angle's share of a half turn; the radius lies one standard deviation
+    cosine 2J / (1 + J), and a bit differs with the angle's share of a half turn; the radius lies three standard deviations
     above the expected difference at ``similarity``. Upper nodes are random choices of bits, wide enough that unlike
-    documents seldom share one and as many as give a pair at exactly ``similarity`` the wanted recall. The index only
+    documents seldom share one and as many as give a pair at exactly ``similarity`` the wanted recall, radius included. The index only
     proposes: inside its components every pair within the radius is held against the exact Jaccard similarity of the
     shingle sets, and classes are the components of the pairs that pass. Equal sets are one entry.
     Texts without words are one class. Null text counts as empty, rows with null ids have a null class.
     """
     bits = 64 * lanes
     differ = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    radius = int(bits * differ + np.sqrt(bits * differ * (1 - differ)))
+    radius = radius_of(bits, differ)
     source = slim(docs, [id_col, text_col]).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
     marked = stored(_marked(source.select("doc_id", "text_hash", "text"), width, lanes), "fingerprints")
     names = [f"f{k}" for k in range(lanes)]
     some = F.min(F.struct("doc_id", "text_hash")).alias("some")
     distinct = stored(marked.where("doc_id is not null").groupBy("id", "n", *names).agg(some).select("id", "n", *names, "some.*"), "distinct")
     band = max(16, int(np.ceil(np.log2(max(2, distinct.count())))) - 2)
-    count = int(np.ceil(np.log(1 - recall) / np.log1p(-((1 - differ) ** band))))
+    count = band_count(bits, differ, radius, band, recall)
     levels = [band_masks(bits, band, count, 1), band_masks(bits, 8, 8, 2), band_masks(bits, 8, 8, 3)]
     candidates = connected_components(link_edges(distinct, lanes, radius, levels))
     members = stored(distinct.join(candidates.toDF("id", "component"), "id"), "members")

@@ -154,3 +154,15 @@ def test_pieces_of_a_component_are_all_compared(spark):
         for i in range(len(texts)):
             root[i] = min(root[j] for j in range(len(texts)) if _jaccard(texts[i], texts[j]) >= 0.8)
     assert {i: got.get(i, i) for i in range(len(texts))} == dict(enumerate(root))
+
+
+def test_pairs_at_the_threshold_are_found(spark, make_docs):
+    """150 pairs at Jaccard 0.806; the stated recall at 0.8 is 0.99."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(150):
+        a, b = _shared([f"{rng.randrange(10**9)}" for _ in range(200)], 2, 179, rng)
+        rows += [(2 * k, a), (2 * k + 1, b)]
+    assert 0.8 <= _jaccard(rows[0][1], rows[1][1]) < 0.81
+    got = {r["doc_id"]: r["class_id"] for r in simhash.near_duplicate_classes(make_docs(rows)).collect()}
+    assert sum(got[2 * k + 1] == 2 * k for k in range(150)) >= 145
