@@ -1,9 +1,9 @@
 """Secret scans: fixed patterns, and a battery of randomness tests for strings that no pattern names.
 
-A candidate string is given the smallest encoding that holds its characters (hex, base32, alphanumeric, base64). Three
-tests ask whether it could be uniform random text of that encoding: chi-squared over equal slices of the alphabet, the
-number of runs above and below the alphabet's middle, and the correlation of neighbouring symbols. Their p-values are
-combined by Bonferroni; a string that fails them is left alone. The opposite hypothesis, ordinary writing, is a fixed
+A candidate string is given the smallest encoding that holds its characters (hex, letters, base32,
+base36, alphanumeric, base64; those of one case apart). Three tests ask whether it could be uniform random text of that
+encoding: chi-squared over equal slices of the alphabet, the number of runs above and below the alphabet's middle, and
+the correlation of neighbouring symbols. Their p-values are combined by Bonferroni; a string that fails them is left alone. The opposite hypothesis, ordinary writing, is a fixed
 letter model with persistent character classes; the likelihood ratio of uniform text against it is an e-value whose
 inverse is a valid p-value, and long strings earn small ones. Benjamini-Hochberg over the candidates of the document,
 with weights that grow with length, controls the share of false discoveries.
@@ -35,7 +35,13 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 ENCODINGS = {
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
+    "letters": "abcdefghijklmnopqrstuvwxyz",
+    "LETTERS": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "lower32": "abcdefghijklmnopqrstuvwxyz234567",
+    "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "BASE36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "Letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "alnum": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-",
 }
@@ -47,6 +53,7 @@ CLASS_CHANCES = {
     "a": {"a": 0.83, "A": 0.1, "0": 0.02, "-": 0.05}, "A": {"a": 0.5, "A": 0.44, "0": 0.02, "-": 0.04},
     "0": {"a": 0.04, "A": 0.04, "0": 0.87, "-": 0.05}, "-": {"a": 0.5, "A": 0.2, "0": 0.1, "-": 0.2},
 }
+ONE_CASE = ("letters", "LETTERS")
 BATTERY_LEVEL = 0.001
 FDR = 0.001
 _INDEX = {name: {c: i for i, c in enumerate(alphabet)} for name, alphabet in ENCODINGS.items()}
@@ -91,13 +98,16 @@ def battery(token: str, encoding: str) -> tuple[float, float, float]:
 
 
 def writing_evidence(token: str, encoding: str) -> float:
-    """Log likelihood ratio of uniform text in the encoding against ordinary writing."""
+    """Log likelihood ratio of uniform text in the encoding against ordinary writing.
+
+    In an encoding of letters of one case both have no other class to go to, so the changes of class tell nothing.
+    """
     total = sum(LETTER_SHARES)
     uniform = -math.log(len(ENCODINGS[encoding]))
     out, last = 0.0, None
     for c in token.rstrip("="):
         kind = "a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if c.isdigit() else "-"
-        move = math.log(CLASS_CHANCES[last][kind] if last else 0.25)
+        move = 0.0 if encoding in ONE_CASE else math.log(CLASS_CHANCES[last][kind] if last else 0.25)
         inside = math.log(LETTER_SHARES[ord(c.lower()) - 97] / total) if kind in "aA" else -math.log(10 if kind == "0" else 4)
         out += uniform - move - inside
         last = kind
@@ -112,11 +122,8 @@ def random_strings(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, i
         if any(s < end and start < e for s, e in taken):
             continue
         token = m[0]
-        if token.isalpha() and (token.islower() or token.isupper() or token.istitle()):
-            evidence = -1.0  # one class of letters throughout: writing
-        else:
-            encoding = infer_encoding(token)
-            evidence = writing_evidence(token, encoding) if encoding and 3 * min(battery(token, encoding)) >= BATTERY_LEVEL * 3 else -1.0
+        encoding = infer_encoding(token)
+        evidence = writing_evidence(token, encoding) if encoding and 3 * min(battery(token, encoding)) >= BATTERY_LEVEL * 3 else -1.0
         found.append((start, end, evidence))
     if not any(e > 0 for *_, e in found):
         return []

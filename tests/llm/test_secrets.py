@@ -61,3 +61,14 @@ def test_redaction(make_docs):
     got = {r["doc_id"]: r for r in secrets.redact_documents(docs).collect()}
     assert got[1]["text"] == '[assign]" end' and got[1]["n_chars"] == 13 and got[2]["text"] is None and got[3]["text"] == "clean" and got[4]["text"] == "[assign]"
     assert secrets.redact_documents(docs).columns == docs.columns
+
+
+def test_recall_by_alphabet_and_length():
+    rng = random.Random(6)
+    low, up = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for alphabet, least in ((low + "0123456789", 190), (up + "0123456789", 190), (low + "234567", 190), (up + "234567", 190), (low + up, 185), (low, 170), (up, 170)):
+        for length in (32, 40, 64):
+            found = sum(bool(secrets.random_strings("see " + "".join(rng.choice(alphabet) for _ in range(length)) + " end", [])) for _ in range(200))
+            assert found >= least, (alphabet, length, found)
+    words = "rindfleischetikettierungsueberwachung kraftfahrzeughaftpflichtversicherung konstantynopolitanczykowianeczka antidisestablishmentarianism ACKNOWLEDGEMENTSANDTHANKS Internationalizationalist aaaaaaaaaaaaaaaaaaaaaaaa"
+    assert not any(secrets.random_strings(w, []) for w in words.split())
