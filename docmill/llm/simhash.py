@@ -222,11 +222,10 @@ def forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
     return root
 
 
-def _node_edges(lanes: int, radius: int, limit: int):
+def _node_edges(lanes: int, radius: int):
     """Streams rows sorted by node and Gray rank; gives an edge from each linked member to the smallest of its set.
 
-    At most ``limit`` members are held; a node that is still larger (only where bands are used) is read in pieces that
-    share their first member.
+    A node is held whole; :func:`link_edges` deals those that are too large into blocks first.
     """
 
     def solve(ids: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -249,12 +248,6 @@ def _node_edges(lanes: int, radius: int, limit: int):
                     a, b = solve(ids[s:e], words[s:e])
                     out_a.append(a)
                     out_b.append(b)
-            while len(nodes) - last > limit:
-                a, b = solve(ids[last : last + limit], words[last : last + limit])
-                out_a.append(a)
-                out_b.append(b)
-                keep = np.r_[last, np.arange(last + limit, len(nodes))]
-                nodes, ids, words, last = nodes[keep], ids[keep], words[keep], 0
             held = (nodes[last:], ids[last:], words[last:])
             if out_a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
@@ -265,11 +258,25 @@ def _node_edges(lanes: int, radius: int, limit: int):
     return run
 
 
+def _blocks(rows: DataFrame, node_rows: int) -> DataFrame:
+    """``rows`` with the nodes of over ``node_rows`` members replaced by one node for each two of their pieces."""
+    large = rows.groupBy("node").count().where(F.col("count") > node_rows)
+    large = stored(large.select("node", F.ceil(F.col("count") / max(1, node_rows * 3 // 4)).alias("pieces")), "large_nodes")
+    if large.isEmpty():
+        return rows
+    dealt = rows.join(large, "node").withColumn("piece", F.pmod(F.xxhash64("id"), "pieces"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    dealt = dealt.withColumn("node", F.xxhash64("node", F.least("piece", "other"), F.greatest("piece", "other")))
+    return rows.join(large, "node", "left_anti").unionByName(dealt.select(*rows.columns))
+
+
 def link_edges(distinct: DataFrame, lanes: int, radius: int, levels: list[list[list[int]]], node_rows: int = NODE_ROWS) -> DataFrame:
     """Spanning edges ``a, b`` (ids) of the links between distinct fingerprints ``id, f0..``.
 
     ``levels[0]`` are the masks of the first upper nodes, ``levels[k]`` those by which nodes of over ``node_rows``
-    members are factored again.
+    members are factored again. Where nodes of the last level can still be larger, their members are dealt into pieces,
+    and each piece meets itself and every other one in a block of its own, so no link inside a node is lost; a member of
+    such a node is copied once for each of its pieces.
     """
     names = [f"f{k}" for k in range(lanes)]
     rank = F.col("f0")
@@ -281,14 +288,17 @@ def link_edges(distinct: DataFrame, lanes: int, radius: int, levels: list[list[l
         nested = depth > 0 and len(masks) % len(levels[depth - 1]) == 0 and len(masks) > len(levels[depth - 1])
         rows = _with_nodes(rows, lanes, masks, len(masks) // len(levels[depth - 1]) if nested else len(masks))
         small, hot = rows, None
-        if depth < len(levels) - 1:
+        if depth == len(levels) - 1:
+            if 2 ** (64 * lanes - min(map(len, masks))) > 2 * node_rows:
+                small = _blocks(rows, node_rows)
+        else:
             hot = stored(rows.groupBy("node").count().where(F.col("count") > node_rows).select("node"), "hot_nodes")
             if hot.isEmpty():
                 hot = None
             else:
                 small = rows.join(hot, "node", "left_anti")
         dealt = small.select("node", "id", *names, "gray").repartition("node").sortWithinPartitions("node", "gray").drop("gray")
-        edges = dealt.mapInArrow(_node_edges(lanes, radius, 2 * node_rows), "a long, b long")
+        edges = dealt.mapInArrow(_node_edges(lanes, radius), "a long, b long")
         found = edges if found is None else found.unionAll(edges)
         if hot is None:
             break
@@ -444,8 +454,7 @@ def near_duplicate_classes(docs: DataFrame, width: int = 5, similarity: float =
     distinct = stored(marked.where("doc_id is not null").groupBy("id", "n", *names).agg(some).select("id", "n", *names, "some.*"), "distinct")
     band = max(16, int(np.ceil(np.log2(max(2, distinct.count())))) - 2)
     count = band_count(bits, differ, radius, band, recall)
-    levels = [band_masks(bits, band, count, 1), band_masks(bits, 8, 8, 2), band_masks(bits, 8, 8, 3)]
-    candidates = connected_components(link_edges(distinct, lanes, radius, levels))
+    candidates = connected_components(link_edges(distinct, lanes, radius, [band_masks(bits, band, count, 1)]))
     members = stored(distinct.join(candidates.toDF("id", "component"), "id"), "members")
     components = connected_components(verified_edges(source, members, width, lanes, radius, similarity))
     classes = distinct.join(components.toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))

@@ -166,3 +166,13 @@ def test_pairs_at_the_threshold_are_found(spark, make_docs):
     assert 0.8 <= _jaccard(rows[0][1], rows[1][1]) < 0.81
     got = {r["doc_id"]: r["class_id"] for r in simhash.near_duplicate_classes(make_docs(rows)).collect()}
     assert sum(got[2 * k + 1] == 2 * k for k in range(150)) >= 145
+
+
+def test_links_between_pieces_of_a_large_node_are_found(spark):
+    """Pairs that stand far apart in Gray order, all in one node that is larger than what is held."""
+    rng = np.random.default_rng(4)
+    words = [int(w) << 4 for w in rng.integers(0, 2**58, 60)]
+    words = sorted({*words, *(w ^ 1 << 62 for w in words)})
+    df = spark.createDataFrame(list(enumerate(words)), "id long, f0 long")
+    got = {r["node"]: r["component"] for r in connected_components(simhash.link_edges(df, 1, 2, [[[0, 1, 2, 3]]], node_rows=8)).collect()}
+    assert {i: got.get(i, i) for i in range(len(words))} == brute_components(list(enumerate(words)))
