@@ -33,12 +33,15 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates (sets of five-word shingles similar by 0.8 or more) the row with the smallest id.
 
-    Documents with a null id belong to no class and stay; of rows with the same smallest id one stays.
+    Documents with a null id belong to no class and stay; of rows with the same smallest id and text one stays, and
+    unlike texts under one id are judged each by its own class.
     """
     docs = _documents(docs)
     classes = simhash.near_duplicate_classes(docs, width=5, similarity=0.8)
-    first = classes.where("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    row = ["doc_id", "text_hash"]
+    first = classes.where("doc_id = class_id and text_hash = class_hash").select(*row).distinct()
+    marked = docs.where("doc_id is not null").withColumn("text_hash", simhash.text_hash("text"))
+    kept = _documents(marked.join(first, row, "left_semi").dropDuplicates(row))
     return _documents(kept.unionByName(docs.where("doc_id is null")))
 
 

@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.llm.common import plain_texts, slices, slim, stored
@@ -333,6 +333,11 @@ PIECE_ROWS = 1024
 PIECE_SHINGLES = 2_000_000
 
 
+def text_hash(column: str) -> Column:
+    """The hash that tells rows of one id apart; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
+
+
 def _marked(docs: DataFrame, width: int, lanes: int) -> DataFrame:
     """Rows ``doc_id, text_hash, f0.., id, n``: the fingerprint of a text's set of shingles, the set's own hash and size."""
     names = [f"f{i}" for i in range(lanes)]
@@ -434,7 +439,7 @@ def verified_edges(docs: DataFrame, members: DataFrame, width: int, lanes: int,
 
 
 def near_duplicate_classes(docs: DataFrame, width: int = 5, similarity: float = 0.8, recall: float = 0.99, id_col: str = "doc_id", text_col: str = "text", lanes: int = 4) -> DataFrame:
-    """Rows ``doc_id, class_id`` of documents whose sets of ``width``-word shingles are similar (Jaccard) by ``similarity``.
+    """Rows ``doc_id, text_hash, class_id, class_hash`` of documents whose sets of ``width``-word shingles are similar (Jaccard) by ``similarity``.
 
     The SimHash has ``64 * lanes`` bits over the distinct shingles. Two sets of equal size and Jaccard similarity J have
     cosine 2J / (1 + J), and a bit differs with the angle's share of a half turn; the radius lies three standard deviations
@@ -442,12 +447,14 @@ def near_duplicate_classes(docs: DataFrame, width: int = 5, similarity: float =
     documents seldom share one and as many as give a pair at exactly ``similarity`` the wanted recall, radius included. The index only
     proposes: inside its components every pair within the radius is held against the exact Jaccard similarity of the
     shingle sets, and classes are the components of the pairs that pass. Equal sets are one entry.
+    A row is known by its id and ``text_hash`` (of :func:`text_hash`), so unlike texts under one id stay apart; ``class_id``
+    and ``class_hash`` are the smallest of the class.
     Texts without words are one class. Null text counts as empty, rows with null ids have a null class.
     """
     bits = 64 * lanes
     differ = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     radius = radius_of(bits, differ)
-    source = slim(docs, [id_col, text_col]).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    source = slim(docs, [id_col, text_col]).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), text_hash("text").alias("text_hash"), "text")
     marked = stored(_marked(source.select("doc_id", "text_hash", "text"), width, lanes), "fingerprints")
     names = [f"f{k}" for k in range(lanes)]
     some = F.min(F.struct("doc_id", "text_hash")).alias("some")
@@ -458,6 +465,8 @@ def near_duplicate_classes(docs: DataFrame, width: int = 5, similarity: float =
     members = stored(distinct.join(candidates.toDF("id", "component"), "id"), "members")
     components = connected_components(verified_edges(source, members, width, lanes, radius, similarity))
     classes = distinct.join(components.toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    classes = stored(classes.select("id", "component", "doc_id"), "classes")
-    least = classes.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    return marked.join(classes.select("id", "component"), "id", "left").join(least, "component", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))
+    classes = stored(classes.select("id", "component", "doc_id", "text_hash"), "classes")
+    least = classes.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"))
+    found = marked.join(classes.select("id", "component"), "id", "left").join(least, "component", "left")
+    known = F.col("doc_id").isNotNull()
+    return found.select("doc_id", "text_hash", F.when(known, F.col("least.doc_id")).alias("class_id"), F.when(known, F.col("least.text_hash")).alias("class_hash"))

@@ -25,3 +25,10 @@ def test_registered(spark):
     names = training.queries()
     assert [n for n in names if n != "pipeline"] == sorted((n for n in names if n != "pipeline"), key=lambda n: int(n[2:].split("_")[0])) and len(names) == 11
     assert set(training.oracle_sql()) <= set(names)
+
+
+def test_unlike_texts_under_one_id_both_stay(spark, make_docs, sf_dir):
+    one, two = (" ".join(f"{p}{i}" for i in range(100)) for p in "ab")
+    rows = [(1, one), (1, two), (5, two + " end"), (5, one + " end"), (1, one), (7, two)]
+    kept = corpus_pipeline.keep_one_copy(spark, make_docs(rows), sf_dir)
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, one), (1, two)]
