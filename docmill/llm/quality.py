@@ -192,7 +192,12 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def score_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows ``doc_id, held_out, score, predicted`` of every document."""
+    """Rows ``doc_id, held_out, score, predicted`` of every document.
+
+    Null text is scored as empty and a null stated length as the real one; empty and short texts have their statistics
+    alone; repeated rows are scored each; a null id counts as not held out; an empty table gives no rows. Without labelled
+    rows of both classes the score is the share of good ones (1 without any).
+    """
     return scores(docs, train(docs, labels)).select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 

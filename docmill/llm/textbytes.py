@@ -5,24 +5,27 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docmill.llm.common import slim
 
 #: Bytes of text that are handled in one go.
 GROUP_BYTES = 1 << 19
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS = np.ones(1, np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS: dict[int, np.ndarray] = {}
 
 
-def powers(n: int) -> np.ndarray:
-    """Powers 0 to ``n`` of the hash base modulo 2**64."""
-    global _POWERS
-    if len(_POWERS) <= n:
+def powers(n: int, base: int = _BASE) -> np.ndarray:
+    """Powers 0 to ``n`` of ``base`` modulo 2**64."""
+    known = _POWERS.get(base)
+    if known is None or len(known) <= n:
         with np.errstate(over="ignore"):
-            _POWERS = np.r_[np.uint64(1), np.cumprod(np.full(max(n, 2 * len(_POWERS)), _BASE, np.uint64))]
-    return _POWERS
+            known = np.r_[np.uint64(1), np.cumprod(np.full(max(n, GROUP_BYTES + 2), base, np.uint64))]
+        if n < 4 * GROUP_BYTES:  # a table for one very long text is not kept
+            _POWERS[base] = known
+    return known
 
 
 def groups(texts: list[str], size: int = GROUP_BYTES) -> Iterator[tuple[int, list[bytes]]]:
@@ -59,19 +62,16 @@ class Words:
         self.firsts = np.cumsum(self.counts) - self.counts
 
     def span_hashes(self, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
-        """Hash of the bytes of each span, equal for equal bytes wherever they stand (prefix sums of powers, aligned)."""
+        """Hash of the bytes of each span, equal for equal bytes wherever and in whatever run they stand.
+
+        Prefix sums of bytes times powers of the base; the difference over a span is divided by the power of its start.
+        """
         with np.errstate(over="ignore"):
-            sums = self._sums()
-            p = powers(len(self.buffer))
-            h = (sums[ends] - sums[starts]) * p[len(self.buffer) - starts]
-            return mixed(h + np.uint64(salt))
-
-    def _sums(self) -> np.ndarray:
-        if not hasattr(self, "_prefix"):
-            with np.errstate(over="ignore"):
-                p = powers(len(self.buffer))[: len(self.buffer)]
-                self._prefix = np.r_[np.uint64(0), np.cumsum((self.buffer.astype(np.uint64) + np.uint64(1)) * p)]
-        return self._prefix
+            if not hasattr(self, "_prefix"):
+                n = len(self.buffer)
+                self._prefix = np.r_[np.uint64(0), np.cumsum((self.buffer.astype(np.uint64) + np.uint64(1)) * powers(n)[:n])]
+                self._back = powers(n, _INVERSE)
+            return mixed((self._prefix[ends] - self._prefix[starts]) * self._back[starts] + np.uint64(salt))
 
     def separators_before(self) -> np.ndarray:
         """How many separators stand before each position, and in all at the end."""
@@ -80,16 +80,6 @@ class Words:
             np.cumsum(self.buffer == 32, out=self._before[1:])
         return self._before
 
-    def gram_hashes(self, size: int) -> np.ndarray:
-        """Hash of the ``size`` bytes from each position on (positions within ``size`` of the end give what is there)."""
-        b = self.buffer.astype(np.uint64) + np.uint64(1)
-        out = np.full(len(b), size, np.uint64)
-        with np.errstate(over="ignore"):
-            for k in range(size):
-                out *= np.uint64(0x100000001B3)
-                out[: len(b) - k] ^= b[k:]
-            return mixed(out)
-
 
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spreads a 64-bit hash over all its bits."""
@@ -99,13 +89,20 @@ def mixed(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(29))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, excluded: int, wanted: bool, per_class: int, columns: list[str]) -> list:
+#: Bytes of labelled texts of a class that reach the driver at most.
+SAMPLE_BYTES = 8 << 20
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, modulus: int, excluded: int, wanted: bool, per_class: int, columns: list[str], text_col: str = "text", bytes_per_class: int = SAMPLE_BYTES
+) -> list:
     """Up to ``per_class`` labelled documents of each class as rows of ``columns`` and ``label``.
 
     Learned from are rows whose crc32(doc_id as text) modulo ``modulus`` is not ``excluded`` (``wanted`` False) or is it
-    (True). The choice is by a hash of the id, so it is spread over the table and the same in every run. Rows with null id or
-    label are left out; of repeated labels of an id the larger counts, of repeated documents one row. ``per_class`` bounds
-    what reaches the driver.
+    (True). The choice is by a hash of the id, so it is spread over the table and the same in every run; of the chosen
+    rows of a class those count that together hold at most ``bytes_per_class`` bytes of text, in the order of the hash.
+    Rows with null id or label are left out; of repeated labels of an id the larger counts, of repeated documents one row.
+    ``per_class`` and ``bytes_per_class`` bound what reaches the driver.
     """
     kept = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
     rows = slim(labels, ["doc_id", label]).where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -116,7 +113,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     for value in (0, 1):
         part = rows.where(F.col(label) == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionAll(part)
-    # At most 2 * per_class rows of two numbers are broadcast, and one document for each of them is collected.
+    # At most 2 * per_class rows of two numbers are broadcast, and one document for each of them is looked at.
     found = slim(docs, ["doc_id", *columns]).join(F.broadcast(chosen), "doc_id")
-    once = found.groupBy("doc_id", label).agg(F.min(F.struct(*columns)).alias("row"))
-    return once.select("doc_id", label, "row.*").orderBy("doc_id").collect()
+    once = found.groupBy("doc_id", label).agg(F.min(F.struct(*columns)).alias("row")).select("doc_id", label, "row.*")
+    upto = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
+    return once.withColumn("held", F.sum(size).over(upto)).where(F.col("held") <= bytes_per_class).drop("held").orderBy("doc_id").collect()

@@ -1,11 +1,12 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over character and word inputs.
 
-Inputs of a word are the weight of the word itself, the strongest, weakest and summed weights of its byte n-grams (with
-its left edge), and its length. Weights are shrunken log-odds over the labelled sample, kept only where significant, and
-found through exact 64-bit hashes. A text is read in windows of ``WINDOW`` words, each sharing a quarter with the next; the network scores
-every window of the whole text, and the text's score is a logistic function of its largest window score, the mean of its three
-largest and its number of windows. Training is in numpy: windows are chosen again in each round by the network itself
-(multiple instances), and the inputs of a training text come from the other folds' weights.
+Inputs of a word are its own vector and the vectors of its character n-grams (with its left edge), pooled by the largest,
+the smallest and the summed coordinates, and its length. The vectors belong to words and n-grams that tell the classes of
+the labelled sample apart significantly, found through exact 64-bit hashes; they are trained with the network. Their first
+coordinate starts at the shrunken log-odds, for a training text those of the other folds, and the others at random. A text
+is read in windows of ``WINDOW`` words, each sharing half with the next; the network scores every window of the whole
+text, and the text's score is a logistic function of its largest window score, the mean of its three largest and its
+number of windows. Training is in numpy: windows are chosen again in each round by the network itself (multiple instances).
 """
 
 from __future__ import annotations
@@ -20,7 +21,10 @@ from pyspark.sql import functions as F
 from docmill.llm.common import plain_texts, slices, slim
 from docmill.llm.textbytes import Words, groups, labelled_sample
 
-WINDOW, STRIDE, HIDDEN, INPUTS = 32, 24, 8, 5
+WINDOW, STRIDE, HIDDEN = 32, 16, 8
+#: Coordinates of the vector of a word or n-gram, and inputs of a word made of them.
+DIM = 3
+INPUTS = 4 * DIM + 1
 GRAMS = (4, 6, 9)
 #: Labelled rows of each class that are learned from at most.
 SAMPLE_PER_CLASS = 800
@@ -37,47 +41,91 @@ def _gram_places(w: Words, size: int) -> np.ndarray:
     """Positions whose ``size`` bytes lie in one word, its left edge counted as a byte."""
     inner = w.separators_before()
     n = len(w.buffer)
-    return np.flatnonzero(inner[size:] == inner[1 : n - size + 2])
+    return np.flatnonzero(inner[size:] == inner[1 : n - size + 2]) if n >= size else np.zeros(0, np.int64)
 
 
-class Lexicon:
-    """Weights by 64-bit hash; a bitmap answers most look-ups without a search."""
+def _gram_hashes(w: Words, size: int, places: np.ndarray) -> np.ndarray:
+    return w.span_hashes(places, places + size, size)
 
-    def __init__(self, keys: np.ndarray, weights: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.weights = keys[order], weights[order].astype(np.float32)
+
+class Vocabulary:
+    """Words and n-grams that have a vector, by 64-bit hash in ascending order; a bitmap answers most look-ups without a search."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(self.keys >> np.uint64(44)).astype(np.int64)] = True
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions that have a weight, and the weights."""
+        """Positions that are known, and their numbers."""
         at = np.flatnonzero(self.filter[(hashes >> np.uint64(44)).astype(np.int64)])
         if not len(at):
-            return at, np.zeros(0, np.float32)
+            return at, at
         k = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
         same = self.keys[k] == hashes[at]
-        return at[same], self.weights[k[same]]
+        return at[same], k[same]
 
     def __reduce__(self):
-        return Lexicon, (self.keys, self.weights)
-
-
-def word_inputs(w: Words, lexicon: Lexicon) -> np.ndarray:
+        return Vocabulary, (self.keys,)
+
+
+class Hits:
+    """Which words of a run have a vector, which n-grams of which words do (in the order of words), and the words' lengths."""
+
+    def __init__(self, w: Words, vocabulary: Vocabulary):
+        self.word_at, self.word_key = vocabulary.find(_word_hashes(w))
+        at, keys = [], []
+        for size in GRAMS:
+            places = _gram_places(w, size)
+            hit, key = vocabulary.find(_gram_hashes(w, size, places))
+            at.append(np.searchsorted(w.starts - 1, places[hit], side="right") - 1)
+            keys.append(key)
+        order = np.argsort(np.concatenate(at), kind="stable")
+        self.gram_at, self.gram_key = np.concatenate(at)[order], np.concatenate(keys)[order]
+        self.lengths = (np.minimum(w.ends - w.starts, 20) / 10).astype(np.float32)
+
+    def inputs(self, word_vectors: np.ndarray, gram_vectors: np.ndarray) -> np.ndarray:
+        """A row of inputs for each word from the vectors of the hits."""
+        x = np.zeros((len(self.lengths), INPUTS), np.float32)
+        x[self.word_at, :DIM] = word_vectors
+        x[:, -1] = self.lengths
+        if len(self.gram_at):
+            first = np.flatnonzero(np.r_[True, self.gram_at[1:] != self.gram_at[:-1]])
+            at = self.gram_at[first]
+            x[at, DIM : 2 * DIM] = np.maximum(np.maximum.reduceat(gram_vectors, first), 0)
+            x[at, 2 * DIM : 3 * DIM] = np.minimum(np.minimum.reduceat(gram_vectors, first), 0)
+            x[at, 3 * DIM : 4 * DIM] = np.clip(np.add.reduceat(gram_vectors, first) / 4, -4, 4)
+        return x
+
+    def gradients(self, x: np.ndarray, dx: np.ndarray, gram_vectors: np.ndarray, n: int) -> np.ndarray:
+        """Gradients of ``n`` vectors from those of the inputs."""
+        v, up, at = gram_vectors, dx[self.gram_at], x[self.gram_at]
+        part = np.where((v == at[:, DIM : 2 * DIM]) & (v > 0), up[:, DIM : 2 * DIM], 0)
+        part = part + np.where((v == at[:, 2 * DIM : 3 * DIM]) & (v < 0), up[:, 2 * DIM : 3 * DIM], 0)
+        part += np.where(np.abs(at[:, 3 * DIM : 4 * DIM]) < 4, up[:, 3 * DIM : 4 * DIM] / 4, 0)
+        keys = np.concatenate([self.word_key, self.gram_key])
+        each = np.concatenate([dx[self.word_at, :DIM], part])
+        return np.stack([np.bincount(keys, weights=each[:, d], minlength=n) for d in range(DIM)], axis=1).astype(np.float32)
+
+    def of_words(self, words: np.ndarray, keep: np.ndarray, keep_gram: np.ndarray) -> tuple[Hits, np.ndarray, np.ndarray]:
+        """The hits of the listed words, numbered anew, of those that are to be kept; and which hits they are."""
+        out = object.__new__(Hits)
+        out.lengths = self.lengths[words]
+        parts = []
+        for at, live in ((self.word_at, keep), (self.gram_at, keep_gram)):
+            low, high = np.searchsorted(at, words), np.searchsorted(at, words, side="right")
+            new = np.repeat(np.arange(len(words)), high - low)
+            hit = np.arange(len(new)) - np.repeat(np.cumsum(high - low) - high, high - low)
+            parts.append((new[live[hit]], hit[live[hit]]))
+        (out.word_at, word_hit), (out.gram_at, gram_hit) = parts
+        out.word_key, out.gram_key = self.word_key[word_hit], self.gram_key[gram_hit]
+        return out, word_hit, gram_hit
+
+
+def word_inputs(w: Words, vocabulary: Vocabulary, vectors: np.ndarray) -> np.ndarray:
     """A row of inputs for each word."""
-    n = len(w.starts)
-    x = np.zeros((n, INPUTS), np.float32)
-    at, weight = lexicon.find(_word_hashes(w))
-    x[at, 0] = weight
-    for size in GRAMS:
-        places = _gram_places(w, size)
-        hit, weight = lexicon.find(w.gram_hashes(size)[places])
-        word = np.searchsorted(w.starts - 1, places[hit], side="right") - 1
-        np.maximum.at(x[:, 1], word, weight)
-        np.minimum.at(x[:, 2], word, weight)
-        np.add.at(x[:, 3], word, weight)
-    np.clip(x[:, 3] / 4, -4, 4, out=x[:, 3])
-    x[:, 4] = np.minimum(w.ends - w.starts, 20) / 10
-    return x
+    hits = Hits(w, vocabulary)
+    return hits.inputs(vectors[hits.word_key], vectors[hits.gram_key])
 
 
 def window_starts(n: int) -> np.ndarray:
@@ -154,9 +202,13 @@ class Network:
         return (logit, (x, at, inside, out, share, pooled, tape)) if keep else logit
 
     def gradients(self, dlogit: np.ndarray, kept) -> dict[str, np.ndarray]:
+        """Gradients of the parameters, and under ``x`` of the inputs if the windows' words stand one after the other."""
         x, at, inside, out, share, pooled, tape = kept
         h = HIDDEN
         g = {k: np.zeros_like(v) for k, v in self.p.items()}
+        # A word stands once at a step, so adding by index loses nothing; what is outside a window goes to a row of its own.
+        dx = np.zeros((len(x) + 1, x.shape[1]), x.dtype)
+        to = np.where(inside, at, len(x))
         g["o"], g["k"] = pooled.T @ dlogit, dlogit.sum(keepdims=True)
         dpool = dlogit[:, None] * self.p["o"]
         dout = share[:, :, None] * dpool
@@ -177,25 +229,33 @@ class Network:
             dg = np.concatenate([da[:, : 2 * h], dn], axis=1)
             g[f"U{d}"] += state.T @ da
             g[f"W{d}"] += x[at[:, t]].T @ dg
+            dx[to[:, t]] += dg @ self.p[f"W{d}"].T
             g[f"c{d}"] += dg.sum(axis=0)
             carry[d] = dh * z + da @ self.p[f"U{d}"].T + rest
+        g["x"] = dx[:-1]
         return g
 
 
-def _adam(net: Network, steps: Iterator[dict[str, np.ndarray]], rate: float = 0.02) -> None:
-    m = {k: np.zeros_like(v) for k, v in net.p.items()}
-    v2 = {k: np.zeros_like(v) for k, v in net.p.items()}
-    for n, g in enumerate(steps, 1):
-        for k in net.p:
-            m[k] = 0.9 * m[k] + 0.1 * g[k]
-            v2[k] = 0.99 * v2[k] + 0.01 * g[k] ** 2
-            net.p[k] -= rate * (m[k] / (1 - 0.9**n)) / (np.sqrt(v2[k] / (1 - 0.99**n)) + 1e-8)
+class Adam:
+    """Running moments of named parameters; ``rates`` are theirs where they differ from the common one."""
+
+    def __init__(self, params: dict[str, np.ndarray], rate: float, rates: dict[str, float] | None = None):
+        self.params, self.rate, self.rates, self.n = params, rate, rates or {}, 0
+        self.m = {k: np.zeros_like(v) for k, v in params.items()}
+        self.v = {k: np.zeros_like(v) for k, v in params.items()}
+
+    def step(self, g: dict[str, np.ndarray]) -> None:
+        self.n += 1
+        for k, p in self.params.items():
+            self.m[k] += 0.1 * (g[k] - self.m[k])
+            self.v[k] += 0.01 * (g[k] ** 2 - self.v[k])
+            p -= self.rates.get(k, self.rate) * (self.m[k] / (1 - 0.9**self.n)) / (np.sqrt(self.v[k] / (1 - 0.99**self.n)) + 1e-8)
 
 
 def _text_features(text: str) -> np.ndarray:
     """Distinct hashes of the words and n-grams of a text."""
     w = Words([text.lower().encode("utf-8", "replace")], TABLE)
-    parts = [_word_hashes(w), *(w.gram_hashes(size)[_gram_places(w, size)] for size in GRAMS)]
+    parts = [_word_hashes(w), *(_gram_hashes(w, size, _gram_places(w, size)) for size in GRAMS)]
     return np.unique(np.concatenate(parts))
 
 
@@ -213,20 +273,20 @@ def _counted(features: list[np.ndarray], toxic: np.ndarray, fold: np.ndarray) ->
     return keys, counts
 
 
-def _lexicon(keys: np.ndarray, counts: np.ndarray, totals: np.ndarray) -> Lexicon:
+def _log_odds(counts: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shrunken log-odds of each key, zero where not significant, and their distance from zero in standard errors."""
     a, b = counts[1] + 0.5, counts[0] + 0.5
     odds = np.log(a / (totals[1] + 1)) - np.log(b / (totals[0] + 1))
     z = odds / np.sqrt(1 / a + 1 / b)
-    good = np.flatnonzero((np.abs(z) >= LEAST_Z) & (counts.sum(axis=0) >= LEAST_DOCS))
-    good = good[np.argsort(-np.abs(z[good]), kind="stable")[:LEXICON]]
-    return Lexicon(keys[good], np.clip(odds[good], -5, 5))
+    good = (np.abs(z) >= LEAST_Z) & (counts.sum(axis=0) >= LEAST_DOCS)
+    return np.where(good, np.clip(odds, -5, 5), 0).astype(np.float32), np.abs(z) * good
 
 
 class Model:
-    """What scores texts: the lexicon and the network, or one constant where one class had no rows to learn from."""
+    """What scores texts: vocabulary, vectors and network, or one constant where one class had no rows to learn from."""
 
-    def __init__(self, lexicon: Lexicon | None, net: Network | None, constant: float = 0.0, pooling: np.ndarray | None = None):
-        self.lexicon, self.net, self.constant, self.pooling = lexicon, net, constant, pooling
+    def __init__(self, vocabulary: Vocabulary | None, vectors: np.ndarray | None, net: Network | None, constant: float = 0.0, pooling: np.ndarray | None = None):
+        self.vocabulary, self.vectors, self.net, self.constant, self.pooling = vocabulary, vectors, net, constant, pooling
 
     def score(self, texts: list[str]) -> np.ndarray:
         out = np.full(len(texts), self.constant)
@@ -234,7 +294,7 @@ class Model:
             return out
         for first, raws in groups([t.lower() for t in texts]):
             w = Words(raws, TABLE)
-            logit = window_logits(self.net, word_inputs(w, self.lexicon), w)
+            logit = window_logits(self.net, word_inputs(w, self.vocabulary, self.vectors), w)
             out[first : first + len(raws)] = _sigmoid(text_inputs(logit, windows(w)[2], len(raws)) @ self.pooling)
         return out
 
@@ -262,16 +322,23 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 30
     return w
 
 
-def window_logits(net: Network, x: np.ndarray, w: Words, size: int = 4096) -> np.ndarray:
-    firsts, sizes, _ = windows(w)
+def network_logits(net: Network, x: np.ndarray, firsts: np.ndarray, sizes: np.ndarray, size: int = 4096) -> np.ndarray:
     return np.concatenate([net.forward(x, firsts[i : i + size], sizes[i : i + size]) for i in range(0, len(firsts), size)])
 
 
+def window_logits(net: Network, x: np.ndarray, w: Words) -> np.ndarray:
+    return network_logits(net, x, *windows(w)[:2])
+
+
+#: Steps of training in each round, windows of a step, rates of the network and of the vectors, and the share of hits left out.
+STEPS, BATCH, RATE, VECTOR_RATE, LEFT_OUT = 150, 128, 0.02, 0.005, 0.1
+
+
 def fit(texts: list[str], toxic: list[int], rounds: int = 4, seed: int = 7) -> Model:
     """Model from labelled texts; with no toxic or no clean text it is the share of toxic ones (0 without any)."""
     y = np.array(toxic, np.int64)
     if not len(y) or y.min() == y.max():
-        return Model(None, None, float(y.mean()) if len(y) else 0.0)
+        return Model(None, None, None, float(y.mean()) if len(y) else 0.0)
     rng = np.random.default_rng(seed)
     fold = np.zeros(len(y), np.int64)
     for value in (0, 1):
@@ -279,48 +346,57 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 4, seed: int = 7) -> M
         fold[rows] = np.arange(len(rows)) % FOLDS
     keys, counts = _counted([_text_features(t) for t in texts], y, fold)
     totals = np.array([[((fold == k) & (y == v)).sum() for v in (0, 1)] for k in range(FOLDS)])
-    views = []
-    for k in range(FOLDS):
-        others = np.arange(FOLDS) != k
-        lexicon = _lexicon(keys, counts[others].sum(axis=0), totals[others].sum(axis=0))
-        for i in np.flatnonzero(fold == k):
-            w = Words([texts[i].lower().encode("utf-8", "replace")], TABLE)
-            views.append((i, word_inputs(w, lexicon), w))
+    odds, strength = _log_odds(counts.sum(axis=0), totals.sum(axis=0))
+    chosen = np.sort(np.argsort(-strength, kind="stable")[: min(LEXICON, int((strength > 0).sum()))])
+    vocabulary = Vocabulary(keys[chosen])
+    vectors = (rng.standard_normal((len(chosen), DIM)) * 0.1).astype(np.float32)
+    vectors[:, 0] = odds[chosen]
+    # What a text of a fold must add to the first coordinate, so that it starts at what the other folds say.
+    shift = np.stack([_log_odds(counts[np.arange(FOLDS) != k].sum(axis=0)[:, chosen], totals[np.arange(FOLDS) != k].sum(axis=0))[0] for k in range(FOLDS)]) - odds[chosen]
+
+    w = Words([t.lower().encode("utf-8", "replace") for t in texts], TABLE)
+    hits = Hits(w, vocabulary)
+    fold_of = fold[w.text_of]
+
+    def seen(part: Hits, word_hit: np.ndarray, gram_hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        word, gram = vectors[part.word_key], vectors[part.gram_key]
+        word[:, 0] += shift[fold_of[hits.word_at[word_hit]], part.word_key]
+        gram[:, 0] += shift[fold_of[hits.gram_at[gram_hit]], part.gram_key]
+        return word, gram
+
+    def everything() -> np.ndarray:
+        return hits.inputs(*seen(hits, np.arange(len(hits.word_at)), np.arange(len(hits.gram_at))))
+
     net = Network(seed)
-    x_all = np.concatenate([x for _, x, _ in views])
-    offset = np.cumsum([0] + [len(x) for _, x, _ in views])
-    firsts, sizes, owner = [], [], []
-    for (_, _, w), at in zip(views, offset, strict=False):
-        f, s, _ = windows(w)
-        firsts.append(f + at)
-        sizes.append(s)
-        owner.append(len(f))
-    firsts, sizes = np.concatenate(firsts), np.concatenate(sizes)
-    owner = np.repeat(np.arange(len(views)), owner)
-    label = y[[i for i, _, _ in views]]
-    prior = np.array([x_all[f : f + s, :2].sum() for f, s in zip(firsts, sizes, strict=True)])
+    firsts, sizes, owner = windows(w)
+    adam = Adam(net.p | {"vectors": vectors}, RATE, {"vectors": VECTOR_RATE})
     for n in range(rounds):
-        logit = prior if n == 0 else np.concatenate([net.forward(x_all, firsts[i : i + 4096], sizes[i : i + 4096]) for i in range(0, len(firsts), 4096)])
+        x_all = everything()
+        told = np.r_[0, np.cumsum(x_all[:, 0] + x_all[:, DIM])]
+        logit = told[firsts + sizes] - told[firsts] if n == 0 else network_logits(net, x_all, firsts, sizes)
         order = np.lexsort((-logit, owner))
         place = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
-        chosen = order[place < np.where(label[owner[order]] == 1, 1, 3)]
-        more = rng.choice(np.flatnonzero(label[owner] == 0), min(2000, int((label[owner] == 0).sum())), replace=False)
-        chosen = np.unique(np.r_[chosen, more])
-
-        def steps(chosen: np.ndarray = chosen) -> Iterator[dict[str, np.ndarray]]:
-            target = label[owner[chosen]].astype(np.float32)
-            weight = np.where(target == 1, 0.5 / max(1, target.sum()), 0.5 / max(1, len(target) - target.sum())) * len(target)
-            epochs = max(2, 150 * 128 // max(1, len(chosen)))
-            for _ in range(epochs):
-                for part in np.array_split(rng.permutation(len(chosen)), max(1, len(chosen) // 128)):
-                    rows = chosen[part]
-                    out, kept = net.forward(x_all, firsts[rows], sizes[rows], True)
-                    yield net.gradients(((_sigmoid(out) - target[part]) * weight[part] / len(part)).astype(np.float32), kept)
-
-        _adam(net, steps())
-    logit = np.concatenate([net.forward(x_all, firsts[i : i + 4096], sizes[i : i + 4096]) for i in range(0, len(firsts), 4096)])
-    pooling = logistic(text_inputs(logit, owner, len(views)), label)
-    return Model(_lexicon(keys, counts.sum(axis=0), totals.sum(axis=0)), net, pooling=pooling)
+        windows_in = order[place < np.where(y[owner[order]] == 1, 1, 3)]
+        clean = np.flatnonzero(y[owner] == 0)
+        windows_in = np.unique(np.r_[windows_in, rng.choice(clean, min(2000, len(clean)), replace=False)])
+        target_of = y[owner].astype(np.float32)
+        share = target_of[windows_in].mean()
+        for _ in range(STEPS):
+            rows = rng.choice(windows_in, min(BATCH, len(windows_in)), replace=False)
+            # The words of the windows one after the other, so that each window has its own.
+            words = np.repeat(firsts[rows] - np.cumsum(sizes[rows]) + sizes[rows], sizes[rows]) + np.arange(int(sizes[rows].sum()))
+            part, word_hit, gram_hit = hits.of_words(words, rng.random(len(hits.word_at)) >= LEFT_OUT, rng.random(len(hits.gram_at)) >= LEFT_OUT)
+            word, gram = seen(part, word_hit, gram_hit)
+            x = part.inputs(word, gram)
+            out, kept = net.forward(x, np.cumsum(sizes[rows]) - sizes[rows], sizes[rows], True)
+            target = target_of[rows]
+            weight = np.where(target == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))
+            g = net.gradients(((_sigmoid(out) - target) * weight / len(rows)).astype(np.float32), kept)
+            dx = g["x"]
+            g["vectors"] = part.gradients(x, dx, gram, len(vectors)) if len(x) else np.zeros_like(vectors)
+            adam.step(g)
+    logit = network_logits(net, everything(), firsts, sizes)
+    return Model(vocabulary, vectors, net, pooling=logistic(text_inputs(logit, owner, len(texts)), y))
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
@@ -348,7 +424,12 @@ THRESHOLD = 0.7
 
 
 def score_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows ``doc_id, held_out, score, predicted`` of every document."""
+    """Rows ``doc_id, held_out, score, predicted`` of every document.
+
+    Null text is scored as empty, and an empty, blank or very short text like any other (one window, perhaps without
+    words); repeated rows are scored each, and equal texts get equal scores; a null id counts as not held out; an empty
+    table gives no rows. Without labelled rows of both classes the score is the share of toxic ones (0 without any).
+    """
     return scores(docs, train(docs, labels)).select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
