@@ -49,16 +49,44 @@ def brute_links(rows, threshold):
     return {rows[a][0]: (len(links[a]), best[a], best[a] == rows[a][0]) for a in range(n)}
 
 
-@pytest.mark.parametrize("sizes", [(2000, 4096), (15, 20)])
+@pytest.mark.parametrize("sizes", [(2000, 4096), (15, 20), (4, 30)])
 def test_links_match_brute_force(spark, monkeypatch, sizes):
     """The second sizes make many lists, probes and slices."""
     monkeypatch.setattr(embedding_dedup, "LIST_ROWS", sizes[0])
     monkeypatch.setattr(embedding_dedup, "SLICE", sizes[1])
+    if sizes[0] == 4:
+        monkeypatch.setattr(embedding_dedup, "PROBE_RECALL", 1.0)
     rows = clusters()
     got = embedding_dedup.near_duplicates(table(spark, rows), 0.93).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute_links(rows, 0.93) and len(got) == len(rows)
 
 
+def test_pairs_at_the_threshold_are_decided_exactly(spark, monkeypatch):
+    """With a large rounding error every comparison near the threshold is open and made again from the original vectors."""
+    rint = np.rint
+    monkeypatch.setattr(embedding_dedup.np, "rint", lambda x: rint(x / 4096) * 4096)
+    rows = [r for r in clusters(seed=3) if r[0] < 5000]
+    got = embedding_dedup.near_duplicates(table(spark, rows), 0.93).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute_links(rows, 0.93)
+
+
+def test_chain_and_hot_label(spark, monkeypatch):
+    """A chain of 400 vectors of one label along an arc beside a label that holds most rows."""
+    monkeypatch.setattr(embedding_dedup, "SLICE", 100)
+    chain = [(3 * k, [np.cos(0.01 * k), np.sin(0.01 * k), 0.0], 1) for k in range(400)]
+    hot = [(10_000 + k, v, 2) for k, v in enumerate(np.random.default_rng(1).standard_normal((900, 16)))]
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(table(spark, chain + hot), 0.93).collect()}
+    want = brute_links(chain, 0.93)
+    assert all((got[i]["n_links"], got[i]["component_id"]) == want[i][:2] for i, _, _ in chain) and {got[i]["component_id"] for i, _, _ in chain} == {0}
+    assert all(got[i]["component_id"] == i for i, _, _ in hot if got[i]["n_links"] == 0)
+
+
+def test_repeated_ids_with_unlike_vectors_stay_apart(spark):
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.01], 0), (3, [0.01, 1.0], 0)]
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(table(spark, rows), 0.93).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+
+
 def test_no_rows_and_null_ids(spark):
     assert embedding_dedup.near_duplicates(table(spark, [])).collect() == []
     got = embedding_dedup.near_duplicates(table(spark, [(None, [1.0, 0.0], 1), (4, [1.0, 0.0], 1), (2, [1.0, 0.001], 1)])).collect()
@@ -99,11 +127,33 @@ def test_few_candidates_are_all_returned(spark, n):
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == sorted((q, k + 1, i) for q, found in want.items() for k, (i, _) in enumerate(found))
 
 
-def test_buckets_in_slices_lose_nothing(spark, monkeypatch):
-    monkeypatch.setattr(ann, "SLICE", 10)
-    monkeypatch.setattr(ann, "PROBES", 81)
-    rows = [r for r in clusters() if r[0] < 5000]
-    want = brute_nearest(rows, 20, 20)
+def recall(got, want):
+    return sum((r["query_id"], r["vec_id"]) in {(q, i) for q, f in want.items() for i, _ in f} for r in got) / sum(map(len, want.values()))
+
+
+@pytest.mark.parametrize("sizes", [(10, 20_000), (20_000, 3), (15, 4)])
+def test_slices_of_buckets_and_of_queries_lose_nothing(spark, monkeypatch, sizes):
+    monkeypatch.setattr(ann, "SLICE", sizes[0])
+    monkeypatch.setattr(ann, "QUERY_ROWS", sizes[1])
+    monkeypatch.setattr(ann, "LEAST_PARTS", 5)
+    monkeypatch.setattr(ann, "RECALL", 1.0)
+    rows = [(i - i % 4, v, k) for i, v, k in clusters() if i < 5000]
+    rows = list({i: (i, v, k) for i, v, k in rows}.values()) + [(None, rows[0][1], 1)]
+    want = brute_nearest([r for r in rows if r[0] is not None], 20, 20)
     got = ann.search(table(spark, rows)).collect()
-    hit = sum((r["query_id"], r["vec_id"]) in {(q, i) for q, f in want.items() for i, _ in f} for r in got) / sum(map(len, want.values()))
-    assert hit >= 0.97
+    assert len(got) == sum(map(len, want.values())) and recall(got, want) >= 0.97
+
+
+def test_bucket_numbers_are_unique():
+    cells = np.array(np.meshgrid(*[np.arange(-5, 6)] * 4)).reshape(4, -1).T
+    numbers = ann.Hashes._numbers(np.repeat(cells[:, None], ann.TABLES, axis=1))
+    assert len(np.unique(numbers)) == numbers.size
+    assert ann.functions_for(10) == ann.LEAST_FUNCTIONS and ann.functions_for(10**12) == ann.MOST_FUNCTIONS
+    assert len(np.unique(ann.Hashes._numbers(np.repeat(np.eye(8)[:, None], ann.TABLES, axis=1)))) == 8 * ann.TABLES
+
+
+def test_each_length_is_searched_among_itself(spark):
+    rows = [(20 * i, [float(i + 1), 1.0], 0) for i in range(3)] + [(20 * i + 10, [1.0, 2.0, float(i + 1)], 0) for i in range(1, 40)]
+    got = {(r["query_id"], r["vec_id"]) for r in ann.search(table(spark, rows), every=10).collect()}
+    assert {(q, i) for q, i in got if q % 20 == 0} == {(20 * a, 20 * b) for a in range(3) for b in range(3) if a != b}
+    assert all(q % 20 == i % 20 for q, i in got) and len([1 for q, _ in got if q % 20]) == 39 * 20
