@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.functions.text import block_type, sentences, strip
 
-CHUNK = "doc_id string, chunk_index int, content string, page_start int, page_end int, block_types array<string>"
+#: Fixed value: every line boundary, among them vertical tab, form feed and the separators of files, groups and records.
+LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+
+
+def lines_of(text: Column) -> Column:
+    """Lines of a text; a null text has one empty line."""
+    return F.split(F.coalesce(text, F.lit("")), LINE_END)
 
 
 def edge_lines(pages: DataFrame, doc: str, page: str, text: str, edge: int = 3) -> DataFrame:
     """Rows ``doc, page, side, line``: the first and the last ``edge`` non-blank lines of each page, stripped."""
-    lines = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), strip), lambda s: s != "")
+    lines = F.filter(F.transform(lines_of(F.col(text)), strip), lambda s: s != "")
     base = pages.select(F.col(doc).alias("doc"), F.col(page).alias("page"), lines.alias("lines"))
     last = F.slice("lines", F.greatest(F.lit(1), F.size("lines") - edge + 1), F.lit(edge))
     sides = F.array(
@@ -38,7 +43,7 @@ def remove_running_lines(pages: DataFrame, doc: str = "doc_id", page: str = "pag
     A document has at most 6 / ``fraction`` running lines (each page gives six), so they travel as an array a document.
     """
     found = running_lines(pages, doc, page, text, fraction).groupBy(F.col("doc").alias(doc)).agg(F.collect_set("line").alias("__drop"))
-    kept = F.filter(F.split(F.col(text), "\n"), lambda line: ~F.array_contains("__drop", strip(line)))
+    kept = F.filter(lines_of(F.col(text)), lambda line: ~F.array_contains("__drop", strip(line)))
     return pages.join(found, doc, "left").withColumn(text, F.when(F.col("__drop").isNull(), F.col(text)).otherwise(strip(F.array_join(kept, "\n")))).drop("__drop")
 
 
@@ -46,7 +51,7 @@ def units(pages_column: str = "pages"):
     """Array of ``(page_idx, text, block_type)``: every sentence of every line of an array of pages."""
 
     def of_page(text, page):
-        lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), strip)
+        lines = F.transform(lines_of(text), strip)
         typed = F.transform(lines, lambda line: F.struct(line.alias("line"), block_type(line, True).alias("kind")))
         of_line = F.transform(typed, lambda t: F.transform(sentences(t["line"], True), lambda s: F.struct(page.cast("int").alias("page_idx"), s.alias("text"), t["kind"].alias("block_type"))))
         return F.flatten(of_line)
@@ -54,67 +59,80 @@ def units(pages_column: str = "pages"):
     return F.flatten(F.transform(F.col(pages_column), of_page))
 
 
-def pack_units(found: list[tuple[int, str, str]], max_chars: int, min_chars: int, overlap: int) -> list[tuple[str, int, int, list[str]]]:
-    """Chunks ``(text, first page, last page, block types)`` of a document's units.
+def chunk_ranges(lengths: np.ndarray, headings: np.ndarray, max_chars: int, min_chars: int, overlap: int) -> list[tuple[int, int, int, int]]:
+    """Which units make each chunk of a document: ``(a, b, c, d)`` for units a to b and, in a joined last chunk, c to d (ends exclusive).
 
-    A heading opens a chunk; a unit of ``max_chars`` or more is a chunk alone; otherwise units are joined by blanks while
-    they fit. When one does not fit, the last ``overlap`` units are carried over, or stand as a chunk of their own if the
-    unit does not fit beside them. A last chunk under ``min_chars`` is joined to the one before.
+    Works on running totals, a step a chunk. A heading opens a chunk; a unit of ``max_chars`` or more is a chunk alone,
+    unless it is a heading that closes another; otherwise a chunk takes what fits with a blank between units. Where the next
+    unit does not fit, the last ``overlap`` units are carried over to it, or stand as a chunk of their own if it does not fit
+    beside them, or are left if they are too long themselves. A last chunk under ``min_chars`` is joined to the one before.
     """
-    chunks: list[tuple[str, int, int, list[str]]] = []
-    held: list[tuple[int, str, str]] = []
+    n = len(lengths)
+    upto = np.concatenate([[0], np.cumsum(np.asarray(lengths, np.int64) + 1)])
+    alone = np.asarray(lengths) >= max_chars
+    stops = np.append(np.flatnonzero(alone | np.asarray(headings, bool)), n)
+    found: list[tuple[int, int]] = []
+    first = following = 0
+    while following < n:
+        if first == following:
+            following += 1
+            if alone[first]:
+                found.append((first, following))
+                first = following
+                continue
+        reach = int(np.searchsorted(upto, upto[first] + max_chars + 1, side="right")) - 1
+        following = max(following, min(reach, int(stops[np.searchsorted(stops, following)])))
+        found.append((first, following))
+        if following == n:
+            break
+        if headings[following]:
+            first, following = following, following + 1
+            if following == n:
+                found.append((first, n))
+            continue
+        if alone[following]:
+            first = following
+            continue
+        carried = max(first, following - overlap)
+        if upto[following] - upto[carried] > max_chars + 1:
+            carried = following
+        if carried < following and upto[following + 1] - upto[carried] > max_chars + 1:
+            found.append((carried, following))
+            carried = following
+        first, following = carried, following + 1
+        if following == n:
+            found.append((first, n))
+    out = [(a, b, 0, 0) for a, b in found]
+    if len(found) > 1 and upto[found[-1][1]] - upto[found[-1][0]] - 1 < min_chars:
+        out[-2:] = [(*found[-2], *found[-1])]
+    return out
 
-    def size(part: list[tuple[int, str, str]]) -> int:
-        return sum(len(u[1]) for u in part) + max(0, len(part) - 1)
 
-    def close(part: list[tuple[int, str, str]]) -> None:
-        if part:
-            pages = [u[0] for u in part]
-            chunks.append((" ".join(u[1] for u in part), min(pages), max(pages), sorted({u[2] for u in part})))
+def chunk_documents(docs: DataFrame, doc: str = "doc_id", pages: str = "pages", max_chars: int = 6000, min_chars: int = 400, overlap: int = 2) -> DataFrame:
+    """Rows ``doc_id, chunk_index, content, page_start, page_end, block_types`` for documents with an array of page texts.
 
-    for unit in found:
-        if not unit[1].strip():
-            continue
-        if unit[2] == "heading" and held:
-            close(held)
-            held = [unit]
-        elif len(unit[1]) >= max_chars:
-            close(held)
-            close([unit])
-            held = []
-        elif not held or size([*held, unit]) <= max_chars:
-            held = [*held, unit]
-        else:
-            tail = held[-overlap:] if overlap > 0 else []
-            close(held)
-            if size(tail) > max_chars:
-                tail = []
-            if size([*tail, unit]) <= max_chars:
-                held = [*tail, unit]
-            else:
-                close(tail)
-                held = [unit]
-    close(held)
-    if len(chunks) > 1 and len(chunks[-1][0]) < min_chars:
-        (a, start, _, kinds), (b, _, end, more) = chunks[-2:]
-        chunks[-2:] = [(f"{a} {b}", start, end, sorted({*kinds, *more}))]
-    return chunks
+    Units are cut and texts are joined by SQL functions; only the units' lengths and which of them are headings go to
+    Python, and the ranges of :func:`chunk_ranges` come back. A document is handled where its row is: no shuffle.
+    """
 
+    def cut(lengths: pd.Series, headings: pd.Series) -> pd.Series:
+        return pd.Series([np.array(chunk_ranges(n, h, max_chars, min_chars, overlap), np.int32).ravel() for n, h in zip(lengths, headings, strict=True)])
 
-def chunk_documents(docs: DataFrame, doc: str = "doc_id", pages: str = "pages", max_chars: int = 6000, min_chars: int = 400, overlap: int = 2) -> DataFrame:
-    """Rows of ``CHUNK`` for documents with an array of page texts. A document is folded where its row is: no shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for name, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                packed = pack_units([(u["page_idx"], u["text"], u["block_type"]) for u in found or []], max_chars, min_chars, overlap)
-                rows += [(name, k, *chunk) for k, chunk in enumerate(packed)]
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            kinds = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[f.split()[0] for f in CHUNK.split(", ")])
-
-    return docs.select(F.col(doc).cast("string").alias("doc_id"), units(pages).alias("units")).mapInArrow(run, CHUNK)
+    ranges = F.pandas_udf(cut, "array<int>")
+    base = docs.select(F.col(doc).cast("string").alias("doc_id"), units(pages).alias("units"))
+    sized = base.select("*", F.transform("units", lambda u: F.length(u["text"])).alias("lengths"), F.transform("units", lambda u: u["block_type"] == "heading").alias("headings"))
+    ranged = sized.where(F.size("units") > 0).select("doc_id", "units", ranges("lengths", "headings").alias("ranges"))
+
+    def chunk(k: Column) -> Column:
+        a, b, c, d = (F.get("ranges", k * 4 + i) for i in range(4))
+        one, two = F.slice("units", a + 1, b - a), F.slice("units", c + 1, d - c)
+        both = F.concat(one, two)
+        return F.struct(
+            k.alias("chunk_index"), F.array_join(F.transform(both, lambda u: u["text"]), " ").alias("content"), F.get(one, F.lit(0))["page_idx"].alias("page_start"),
+            F.element_at(both, -1)["page_idx"].alias("page_end"), F.sort_array(F.array_distinct(F.transform(both, lambda u: u["block_type"]))).alias("block_types"),
+        )
+
+    return ranged.select("doc_id", F.inline(F.transform(F.sequence(F.lit(0), F.expr("size(ranges) div 4 - 1").cast("int")), chunk)))
 
 
 def chunk_records(chunks: DataFrame, path: str = "source_path", total_pages: str = "num_pages", source_type: str = "pdf") -> DataFrame:

@@ -34,6 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SQL_BLANK = r"[\s\x1c-\x1f\x{85}\p{Z}]"
 
 
+#: Lines of a text at every line boundary, as the SQL engine writes it.
+SQL_LINES = r"regexp_split_to_array(coalesce(text, ''), '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]')"
+
+
 def sql_strip(x: str) -> str:
     return rf"regexp_replace({x}, '^{SQL_BLANK}+|{SQL_BLANK}+$', '', 'g')"
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from docmill.functions import text
 from docmill.functions.records import as_list, json_array, json_object, kind, semantic_first
 from docmill.operators import chunking, review, semantics, vectors
-from docmill.plans.catalog import CHUNKS, chunks, query, sql_strip, table
+from docmill.plans.catalog import CHUNKS, SQL_BLANK, SQL_LINES, chunks, query, sql_strip, table
+from docmill.plans.text_queries import SQL_BLOCK_TYPE
 from docmill.schemas import TAXONOMY
 from docmill.sources import readers, writers
 from docmill.storage import shared_dir
@@ -87,7 +88,7 @@ def snk03_index_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _EDGE = rf"""WITH n AS (SELECT source AS doc, count(*) AS pages FROM documents GROUP BY source), l AS (
-  SELECT source AS doc, list_filter(list_transform(str_split(text, chr(10)), lambda x: {sql_strip("x")}), lambda x: x <> '') AS lines FROM documents),
+  SELECT source AS doc, list_filter(list_transform({SQL_LINES}, lambda x: {sql_strip("x")}), lambda x: x <> '') AS lines FROM documents),
   e AS (SELECT doc, 'header' AS side, unnest(lines[1:3]) AS line FROM l UNION ALL SELECT doc, 'footer', unnest(lines[greatest(1, len(lines) - 2):len(lines)]) FROM l),
   c AS (SELECT doc, side, line, count(*) AS n FROM e GROUP BY ALL),
   f AS (SELECT c.* FROM c JOIN n USING (doc) WHERE pages >= 3 AND c.n >= greatest(2, floor(0.02 * pages)) AND length(line) <= 120)"""
@@ -100,28 +101,64 @@ def xf01_running_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(_EDGE + rf""", d AS (SELECT doc, list(DISTINCT line) AS gone FROM f GROUP BY doc)
-  SELECT doc_id, CASE WHEN gone IS NULL THEN text ELSE {sql_strip("array_to_string(list_filter(str_split(text, chr(10)), lambda x: NOT list_contains(gone, " + sql_strip("x") + ")), chr(10))")} END AS text
+  SELECT doc_id, CASE WHEN gone IS NULL THEN text ELSE {sql_strip("array_to_string(list_filter(" + SQL_LINES + ", lambda x: NOT list_contains(gone, " + sql_strip("x") + ")), chr(10))")} END AS text
   FROM documents LEFT JOIN d ON d.doc = documents.source""")
 def xf01_cleaned_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.remove_running_lines(table(spark, sf_dir, "documents"), "source", "doc_id", "text", 0.02).select("doc_id", "text")
 
 
-@query()
-def xf03_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunk records of every document as one of a single page; a stateful fold, held against fixtures in the tests."""
+#: Sentences ``s`` of every line with the line's kind, and their place in the document.
+_UNITS = rf"""lines AS (SELECT doc_id, generate_subscripts({SQL_LINES}, 1) AS l, {sql_strip("unnest(" + SQL_LINES + ")")} AS s FROM documents),
+  cut AS (SELECT doc_id, l, {SQL_BLOCK_TYPE} AS kind, str_split(regexp_replace(s, '([.!?]){SQL_BLANK}+', '\1' || chr(1), 'g'), chr(1)) AS parts FROM lines WHERE s <> ''),
+  pieces AS (SELECT doc_id, l, kind, generate_subscripts(parts, 1) AS p, {sql_strip("unnest(parts)")} AS s FROM cut),
+  units AS (SELECT doc_id, kind, s, length(s) AS len, row_number() OVER (PARTITION BY doc_id ORDER BY l, p) AS i FROM pieces WHERE s <> '')"""
+#: A step of the recursion gives the chunk of units ``a`` to ``b`` (counted from 1, end exclusive) and what is held after it:
+#: units ``first`` to ``following``, or none; ``spent`` says that they are carried over and do not fit beside the next.
+#: ``stop`` is the next unit that opens a chunk or stands alone, ``reach`` the first that does not fit.
+_CHUNKED = f"""{_UNITS},
+  sized AS (SELECT *, sum(len + 1) OVER w AS upto, sum(len + 1) OVER w - len - 1 AS before, kind = 'heading' AS heading, len >= 1200 AS alone, count(*) OVER (PARTITION BY doc_id) + 1 AS n
+    FROM units WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+  bounded AS (SELECT x.*, coalesce(y.i, x.n) AS reach, coalesce(min(CASE WHEN x.heading OR x.alone THEN x.i END) OVER (PARTITION BY x.doc_id ORDER BY x.i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), x.n) AS stop
+    FROM sized x ASOF LEFT JOIN sized y ON x.doc_id = y.doc_id AND x.before + 1202 <= y.upto),
+  d AS (SELECT doc_id, n, list(upto ORDER BY i) AS upto, list(before ORDER BY i) AS before, list(heading ORDER BY i) AS heading, list(alone ORDER BY i) AS alone, list(stop ORDER BY i) AS stop,
+    list(reach ORDER BY i) AS reach FROM bounded GROUP BY doc_id, n),
+  steps AS (
+    SELECT doc_id, 0 AS k, 0::BIGINT AS a, 0::BIGINT AS b, 1::BIGINT AS first, 1::BIGINT AS following, false AS spent FROM d
+    UNION ALL
+    SELECT doc_id, k + 1, first, e,
+      CASE WHEN lone OR spent OR e = n OR heading[e] OR alone[e] THEN e ELSE t END,
+      CASE WHEN lone OR e = n THEN e WHEN spent OR heading[e] THEN e + 1 WHEN alone[e] OR (t < e AND upto[e] - before[t] > 1201) THEN e ELSE e + 1 END,
+      NOT (lone OR spent OR e = n OR heading[e] OR alone[e]) AND t < e AND upto[e] - before[t] > 1201
+    FROM (SELECT *, CASE WHEN upto[e - 1] - before[greatest(first, e - 2)] > 1201 THEN e ELSE greatest(first, e - 2) END AS t FROM (
+      SELECT d.*, k, first, following, spent, first = following AND alone[first] AS lone,
+        CASE WHEN first = following AND alone[first] THEN first + 1 WHEN spent THEN following
+          ELSE greatest(following, first + 1, least(reach[first], coalesce(stop[greatest(following, first + 1)], n))) END AS e
+      FROM steps JOIN d USING (doc_id) WHERE first < n))
+  ),
+  found AS (SELECT s.doc_id, k - 1 AS k, a, b, k > 1 AND a > 0 AND k = max(k) OVER (PARTITION BY s.doc_id) AND upto[b - 1] - before[a] - 1 < 200 AS joined FROM steps s JOIN d USING (doc_id) WHERE k > 0),
+  ranges AS (SELECT doc_id, k - joined::INT AS k, joined, a, b FROM found),
+  chunks AS (SELECT r.doc_id, r.k, string_agg(s, ' ' ORDER BY joined, i) AS content, list_sort(list(DISTINCT kind)) AS kinds FROM ranges r JOIN units u ON u.doc_id = r.doc_id AND u.i >= r.a AND u.i < r.b GROUP BY r.doc_id, r.k)"""
+
+
+def _chunks_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.array("text").alias("pages"))
     return chunking.chunk_documents(docs, max_chars=1200, min_chars=200)
 
 
-@query()
+@query(f"WITH RECURSIVE {_CHUNKED} SELECT doc_id::VARCHAR AS doc_id, k::INT AS chunk_index, content, 0 AS page_start, 0 AS page_end, array_to_string(kinds, ',') AS block_types FROM chunks")
+def xf03_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of every document as one of a single page."""
+    return _chunks_of_documents(spark, sf_dir).withColumn("block_types", F.array_join("block_types", ","))
+
+
+@query(f"""WITH RECURSIVE {_CHUNKED} SELECT doc_id::VARCHAR AS doc_id, printf('%s_c%04d', doc_id::VARCHAR, k) AS chunk_id, doc_id::VARCHAR AS title, content, 0 AS page_start,
+  list_contains(kinds, 'heading') AS has_heading, list_contains(kinds, 'table') AS has_table, list_contains(kinds, 'formula') AS has_formula FROM chunks""")
 def prj02_chunk_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = xf03_chunks(spark, sf_dir).withColumns({"source_path": F.concat(F.lit("a/"), F.col("doc_id"), F.lit(".pdf")), "num_pages": F.lit(1)})
+    packed = _chunks_of_documents(spark, sf_dir).withColumns({"source_path": F.concat(F.lit("a/"), F.col("doc_id"), F.lit(".pdf")), "num_pages": F.lit(1)})
     return chunking.chunk_records(packed).select("doc_id", "chunk_id", "title", "content", "meta.page_start", "meta.has_heading", "meta.has_table", "meta.has_formula")
 
 
-@query(rf"""WITH lines AS (SELECT doc_id, {sql_strip("unnest(str_split(text, chr(10)))")} AS line FROM documents), cut AS (
-  SELECT doc_id, unnest(str_split(regexp_replace(line, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))) AS s FROM lines)
-  SELECT doc_id, count_if({sql_strip("s")} <> '') AS units, sum(length({sql_strip("s")})) AS chars FROM cut GROUP BY doc_id""")
+@query(f"WITH {_UNITS} SELECT d.doc_id, count(s) AS units, coalesce(sum(len), 0) AS chars FROM documents d LEFT JOIN units u USING (doc_id) GROUP BY d.doc_id")
 def xf02_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", F.array("text").alias("pages")).withColumn("u", chunking.units())
     chars = F.aggregate("u", F.lit(0), lambda a, u: a + F.length(u["text"]))

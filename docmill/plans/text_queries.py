@@ -37,13 +37,17 @@ def str01_sentence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.aggregate(per_line, F.lit(0), lambda a, n: a + n).cast("long").alias("sentences"))
 
 
-@query(rf"""WITH lines AS (SELECT lang, {sql_strip("unnest(str_split(text, chr(10)))")} AS s FROM documents), typed AS (
-  SELECT lang, CASE
+#: Kind of a stripped line ``s``.
+SQL_BLOCK_TYPE = r"""CASE
     WHEN length(s) < 80 AND (regexp_matches(s, '^\d+(\.\d+)*\s+\S+') OR regexp_matches(s, '(?i)^(chapter|section|kapitel|abschnitt)\b') OR (
-      length(regexp_replace(s, '[^\p{{L}}]', '', 'g')) >= 3 AND length(regexp_replace(s, '[^\p{{L}}]', '', 'g')) = length(regexp_replace(s, '[^\p{{Lu}}]', '', 'g')))) THEN 'heading'
-    WHEN contains(s, '|') OR regexp_matches(s, '\S+\s{{2,}}\S+\s{{2,}}\S+') THEN 'table'
-    WHEN (regexp_matches(s, '[=±+−∑∫√∞≡≤≥≈≠⋅∙°∆∂λμσπφθ^/]') AND regexp_matches(s, '\p{{L}}')) OR regexp_matches(s, '(?i)\b(eq\.?|equation)\b') THEN 'formula'
-    ELSE 'paragraph' END AS block_type FROM lines WHERE s <> '')
+      length(regexp_replace(s, '[^\p{L}]', '', 'g')) >= 3 AND length(regexp_replace(s, '[^\p{L}]', '', 'g')) = length(regexp_replace(s, '[^\p{Lu}]', '', 'g')))) THEN 'heading'
+    WHEN contains(s, '|') OR regexp_matches(s, '\S+\s{2,}\S+\s{2,}\S+') THEN 'table'
+    WHEN (regexp_matches(s, '[=±+−∑∫√∞≡≤≥≈≠⋅∙°∆∂λμσπφθ^/]') AND regexp_matches(s, '\p{L}')) OR regexp_matches(s, '(?i)\b(eq\.?|equation)\b') THEN 'formula'
+    ELSE 'paragraph' END"""
+
+
+@query(rf"""WITH lines AS (SELECT lang, {sql_strip("unnest(str_split(text, chr(10)))")} AS s FROM documents), typed AS (
+  SELECT lang, {SQL_BLOCK_TYPE} AS block_type FROM lines WHERE s <> '')
   SELECT lang, block_type, count(*) AS n FROM typed GROUP BY ALL""")
 def str02_block_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "documents").select("lang", F.explode(F.split("text", "\n")).alias("line")).where(~text.is_blank(F.col("line")))

@@ -1,5 +1,6 @@
 """Functions and operators against small cases with known answers."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,14 +73,29 @@ def test_statistics(spark):
 
 
 def test_chunks(spark):
-    a, b, c = ((0, t, "paragraph") for t in ("Aaaa bbbb.", "Cccc dddd.", "Eeee ffff."))
-    assert [x[0] for x in chunking.pack_units([a, b, c], 20, 0, 1)] == [a[1], a[1], b[1], b[1], c[1]]
-    assert [x[0] for x in chunking.pack_units([a, b, c], 20, 400, 1)] == [a[1], a[1], b[1], "Cccc dddd. Eeee ffff."]
+    def ranges(lengths, headings=(), max_chars=20, min_chars=0, overlap=1):
+        return chunking.chunk_ranges(np.array(lengths), np.isin(np.arange(len(lengths)), headings), max_chars, min_chars, overlap)
+
+    assert ranges([]) == [] and ranges([10]) == [(0, 1, 0, 0)] and ranges([30]) == [(0, 1, 0, 0)]
+    # Nothing fits beside anything: what is carried over stands alone once more.
+    assert ranges([10, 10, 10]) == [(0, 1, 0, 0), (0, 1, 0, 0), (1, 2, 0, 0), (1, 2, 0, 0), (2, 3, 0, 0)]
+    assert ranges([10, 10, 10], min_chars=400)[-1] == (1, 2, 2, 3)
+    assert ranges([5, 5, 5, 5, 5]) == [(0, 3, 0, 0), (2, 5, 0, 0)] and ranges([5] * 5, overlap=0) == [(0, 3, 0, 0), (3, 5, 0, 0)]
+    # A heading opens a chunk; a long unit stands alone; a long heading after other units opens one too and is carried nowhere.
+    assert ranges([5, 5, 5], [1]) == [(0, 1, 0, 0), (1, 3, 0, 0)] and ranges([5, 25, 5]) == [(0, 1, 0, 0), (1, 2, 0, 0), (2, 3, 0, 0)]
+    assert ranges([5, 25, 5], [1]) == [(0, 1, 0, 0), (1, 2, 0, 0), (2, 3, 0, 0)] and ranges([25, 5], [0]) == [(0, 1, 0, 0), (1, 2, 0, 0)]
+    assert ranges([5, 5], [1]) == [(0, 1, 0, 0), (1, 2, 0, 0)]
     df = spark.createDataFrame([("d", ["Text one.\n2 Head\nText two."]), ("empty", []), ("none", None)], "doc_id string, pages array<string>")
     made = chunking.chunk_documents(df).collect()
     assert [(r["doc_id"], r["content"], r["block_types"]) for r in made] == [("d", "Text one. 2 Head Text two.", ["heading", "paragraph"])]
 
 
+def test_every_line_boundary_parts_lines(spark):
+    marks = ["\n", "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
+    df = spark.createDataFrame([("".join(f"a{m}" for m in marks) + "a",)], "t string")
+    assert df.select(F.size(chunking.lines_of(F.col("t")))).first()[0] == len("".join(f"a{m}" for m in marks).splitlines()) + 1
+
+
 def test_running_lines(spark):
     pages = [("d", i, ("HDR\n" if i < 3 else f"x{i}\n") + f"body {i}\nmore {i}\nlast {i}\nHDR") for i in range(5)] + [("e", i, "HDR\nsame") for i in range(2)]
     df = spark.createDataFrame(pages, "doc_id string, page_idx int, text string")
