@@ -1,13 +1,14 @@
 """SentencePiece encoding that keeps the source: every piece is projected to a byte span of the original text.
 
-The model file is parsed here. Normalisation takes the longest prefix found in the compiled character map (a double-array
-trie over UTF-8 bytes followed by zero-terminated replacements), copies one character where none matches, and records for
-each normalised byte the source byte that it came from. Segmentation is byte-pair merging by piece score (leftmost first
-among equals) with byte fallback. A model without a character map has the identity as its normaliser; then, if no piece
-holds a space mark after another character, text falls apart at spaces into chunks that are encoded independently, and
-chunks are remembered (bounded by ``CACHE_CHUNKS``), which is the fast path. Chunks not yet known are segmented in one
-call of the library for a batch of texts; :meth:`OffsetCodec.segment` is the same rule, for models with a character map
-and texts that hold space marks.
+The model file is parsed here. Every text is normalised first: at each place the longest prefix found in the compiled
+character map (a double-array trie over UTF-8 bytes followed by zero-terminated replacements) is replaced, one character
+is copied where none matches, and each normalised byte keeps the source byte that it came from. The trie is walked from
+all bytes of a text at once. Pieces are then found by byte-pair merging by score (leftmost first among equals) with byte
+fallback, and the alignment turns their normalised bytes into source spans.
+
+Where no piece holds a space mark after another character, normalised text falls apart at its marks into chunks that merge
+independently; ids of chunks are remembered (bounded by ``CACHE_CHUNKS``), and the chunks of a batch that are new are
+merged together, one merge of each in a step. Long chunks are merged one at a time with a queue.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,38 +74,46 @@ class CharacterMap:
     """The compiled map: its size, the trie's 32-bit units, then the replacement strings."""
 
     def __init__(self, blob: bytes):
-        self.units: tuple[int, ...] = ()
+        self.units = np.zeros(0, np.int64)
         self.replacements = b""
         if blob:
             (size,) = struct.unpack_from("<I", blob)
-            self.units = struct.unpack_from(f"<{size // 4}I", blob, 4)
+            self.units = np.frombuffer(blob, "<u4", size // 4, 4).astype(np.int64)
             self.replacements = blob[4 + size :]
 
     @staticmethod
-    def _offset(unit: int) -> int:
+    def _offset(unit: np.ndarray) -> np.ndarray:
         return (unit >> 10) << ((unit & (1 << 9)) >> 6)
 
-    def longest(self, data: bytes, at: int) -> tuple[int, bytes] | None:
-        """Length of the longest key that starts at ``at``, and its replacement."""
-        if not self.units:
-            return None
-        units, found = self.units, None
-        node = self._offset(units[0])
-        for n in range(at, len(data)):
-            byte = data[n]
-            if byte == 0:
-                break
-            node ^= byte
-            if node >= len(units):
-                break
+    def longest(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """For each byte of ``data`` the length of the longest key that starts there (0 if none), and the replacement's place."""
+        n = len(data)
+        length, value = np.zeros(n, np.int32), np.zeros(n, np.int64)
+        if not len(self.units) or not n:
+            return length, value
+        units, raw = self.units, np.frombuffer(data, np.uint8).astype(np.int64)
+        live = np.arange(n)
+        node = np.full(n, self._offset(units[:1])[0], np.int64)
+        for depth in range(n):
+            inside = live + depth < n
+            live, node = live[inside], node[inside]
+            byte = raw[live + depth]
+            node = node ^ byte
+            known = (node < len(units)) & (byte != 0)
+            live, node, byte = live[known], node[known], byte[known]
             unit = units[node]
-            if unit & 0x800000FF != byte:
+            right = (unit & 0x800000FF) == byte
+            live, node, unit = live[right], node[right], unit[right]
+            if not len(live):
                 break
-            node ^= self._offset(unit)
-            if (unit >> 8) & 1:
-                start = units[node] & 0x7FFFFFFF
-                found = (n + 1 - at, self.replacements[start : self.replacements.index(b"\0", start)])
-        return found
+            node = node ^ self._offset(unit)
+            leaf = (unit >> 8) & 1 == 1
+            length[live[leaf]] = depth + 1
+            value[live[leaf]] = units[node[leaf]] & 0x7FFFFFFF
+        return length, value
+
+    def replacement(self, place: int) -> bytes:
+        return self.replacements[place : self.replacements.index(b"\0", place)]
 
 
 class OffsetCodec:
@@ -139,50 +147,50 @@ class OffsetCodec:
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(self.pieces) if kind == BYTE}
         self.unknown = next(i for i, (_, _, kind) in enumerate(self.pieces) if kind == UNKNOWN)
         self.eos = next((i for i, (p, _, kind) in enumerate(self.pieces) if kind == CONTROL and p == b"</s>"), None)
-        self.plain = not self.map.units and not self.squeeze and self.dummy_prefix and not any(MARK in p.lstrip(MARK) for p in self.rank)
-        self._library = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.apart = self.dummy_prefix and not any(MARK in p.lstrip(MARK) for p in self.rank)
         self._surface = []
         self._decimal = [str(i) for i in range(len(self.pieces))]
         for i, (p, _, kind) in enumerate(self.pieces):
             out = bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else " ⁇ ".encode() if kind == UNKNOWN else p.replace(MARK_BYTES, b" ")
             self._surface.append(out)
-        #: Source bytes that a piece takes in a model with the identity as normaliser: a mark stands for one space.
-        self._takes = np.array([1 if kind == BYTE else len(p) - 2 * p.count(MARK_BYTES) for p, _, kind in self.pieces], np.int64)
+        #: Normalised bytes of each piece.
+        self._sizes = np.array([1 if kind == BYTE else len(p) for p, _, kind in self.pieces], np.int64)
+        self._merges = Merges(self)
         self._known: dict[str, bytes] = {}
 
-    def normalize(self, text: str) -> tuple[bytes, np.ndarray]:
-        """Normalised UTF-8 bytes, and for each of them and the end the source byte where it begins."""
+    def _mapped(self, text: str) -> tuple[str, np.ndarray]:
+        """Text after the character map, and the source byte of each of its bytes, in which a space counts as a mark."""
         data = text.encode("utf-8", "replace")
-        if not data:
-            return b"", np.zeros(1, np.int64)
-        out, source, at = bytearray(), [], 0
-        if not self.map.units:
-            for char in text:
-                size = len(char.encode("utf-8", "replace"))
-                part = MARK_BYTES if char == " " else char.encode("utf-8", "replace")
-                out += part
-                source += [at] * len(part)
-                at += size
-        else:
-            while at < len(data):
-                hit = self.map.longest(data, at)
-                if hit:
-                    size, part = hit
-                else:
-                    size = 1 if data[at] < 128 else 2 if data[at] < 224 else 3 if data[at] < 240 else 4
-                    part = data[at : at + size]
-                part = part.replace(b" ", MARK_BYTES)
-                out += part
-                source += [at] * len(part)
-                at += size
+        raw = np.frombuffer(data, np.uint8)
+        # A byte inside a character comes from where the character begins.
+        source = np.maximum.accumulate(np.where((raw & 0xC0) == 0x80, 0, np.arange(len(raw))))
+        length, value = self.map.longest(data)
+        if length.any():
+            parts, sources, at = [], [], 0
+            for hit in np.flatnonzero(length).tolist():
+                if hit < at or source[hit] != hit:
+                    continue
+                part = self.map.replacement(int(value[hit]))
+                parts += [data[at:hit], part]
+                sources += [source[at:hit], np.full(len(part), hit)]
+                at = hit + int(length[hit])
+            data = b"".join([*parts, data[at:]])
+            raw, source, text = np.frombuffer(data, np.uint8), np.concatenate([*sources, source[at:]]), data.decode("utf-8", "replace")
+        return text, np.repeat(source, np.where(raw == 32, len(MARK_BYTES), 1))
+
+    def normalize(self, text: str) -> tuple[str, np.ndarray]:
+        """Normalised text with spaces for marks, without the dummy prefix; and the source byte of each byte of its marked
+        form, the dummy prefix and the end included."""
+        size = len(text.encode("utf-8", "replace"))
+        text, source = self._mapped(text)
+        text = text.replace(MARK, " ")
         if self.squeeze:
-            out, source = self._squeezed(bytes(out), source)
-        if not out:
-            return b"", np.array([len(data)])
-        if self.dummy_prefix:
-            out = MARK_BYTES + bytes(out)
-            source = [source[0]] * len(MARK_BYTES) + source
-        return bytes(out), np.array([*source, len(data)])
+            kept, kept_from = self._squeezed(text.replace(" ", MARK).encode(), source.tolist())
+            text, source = kept.decode().replace(MARK, " "), np.array(kept_from, np.int64)
+        if not text:
+            return "", np.array([size])
+        before = [source[0]] * len(MARK_BYTES) if self.dummy_prefix else []
+        return text, np.r_[before, source, size].astype(np.int64)
 
     @staticmethod
     def _squeezed(out: bytes, source: list[int]) -> tuple[bytes, list[int]]:
@@ -252,43 +260,34 @@ class OffsetCodec:
         text follow each other without gaps; a byte piece of a character that takes several has an empty span unless it
         is the last of them.
         """
-        ids, lengths = self.encode_batch([text])[0]
-        edges = np.concatenate([[0], np.cumsum(lengths)])
-        return ids.tolist(), edges[:-1].tolist(), edges[1:].tolist()
-
-    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and source bytes of each piece by normalising and segmenting the text as one."""
-        normal, source = self.normalize(text)
-        found = self.segment(normal.decode())
-        edges = source[np.concatenate([[0], np.cumsum([k for _, k in found], dtype=np.int64)])]
-        return np.array([i for i, _ in found], np.int64), np.diff(edges)
+        ids, ends = self.encode_batch([text])[0]
+        ends = ends.tolist()
+        begin = int(self.normalize(text)[1][0]) if len(ids) else 0
+        return ids.tolist(), [begin, *ends[:-1]] if ends else [], ends
 
     def encode_batch(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text the ids of its pieces and how many source bytes each takes."""
-        if not self.plain:
-            return [self._whole(t) for t in texts]
-        parts = [_chunks(t) if t and MARK not in t else None for t in texts]
+        """For each text the ids of its pieces and the source byte where each ends."""
+        normal = [self.normalize(t) for t in texts]
+        if not self.apart:
+            found = [self.segment(MARK * self.dummy_prefix + n.replace(" ", MARK)) if n else [] for n, _ in normal]
+            out = []
+            for pieces, (_, source) in zip(found, normal, strict=True):
+                ends = np.cumsum([size for _, size in pieces], dtype=np.int64)
+                out.append((np.array([i for i, _ in pieces], np.int64), source[ends]))
+            return out
+        parts = [_chunks(n) if n else [] for n, _ in normal]
         if len(self._known) > CACHE_CHUNKS:
             self._known.clear()
         known = self._known
-        new = list(set().union(*(p for p in parts if p)).difference(known))
-        passing = []
-        for chunk, ids in zip(new, self._library.encode([c.removeprefix(" ") for c in new], num_threads=1) if new else [], strict=True):
-            # The library puts a mark before what it is given; a lone space is that mark.
-            known[chunk] = np.array(ids if chunk != " " else [self.rank[MARK][1]], "<u4").tobytes()
-            if len(chunk) > CACHE_LONGEST:
-                passing.append(chunk)
+        new = list(set().union(*parts).difference(known))
+        known.update(zip(new, self._merges.ids_of([marked(c) for c in new]), strict=True))
         out = []
-        for text, chunks in zip(texts, parts, strict=True):
-            if chunks is None:
-                out.append(self._whole(text) if text else (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-                continue
+        for chunks, (_, source) in zip(parts, normal, strict=True):
             ids = np.frombuffer(b"".join(map(known.__getitem__, chunks)), "<u4")
-            lengths = self._takes[ids]
-            lengths[0] -= 1  # the space that was put before the text
-            out.append((ids, lengths))
-        for chunk in passing:
-            del known[chunk]
+            out.append((ids, source[np.cumsum(self._sizes[ids])]))
+        for chunk in new:
+            if len(chunk) > CACHE_LONGEST:
+                del known[chunk]
         return out
 
     def joined(self, ids: np.ndarray) -> str:
@@ -303,6 +302,114 @@ class OffsetCodec:
         return raw.decode("utf-8", "replace")
 
 
+class Merges:
+    """Byte-pair merging of many short chunks at once.
+
+    A symbol is a piece's id, or ``AWAY`` and the code point of a character that is no piece. The pairs of symbols whose
+    text together is a piece stand in one sorted table with the rank of the piece's score.
+    """
+
+    AWAY, BITS, NONE = 1 << 20, 22, np.int32(2**31 - 1)
+
+    def __init__(self, codec: OffsetCodec):
+        self.codec = codec
+        rank = codec.rank
+        self.symbol = np.arange(0x110000, dtype=np.int32) + self.AWAY
+        for text, (_, i) in rank.items():
+            if len(text) == 1:
+                self.symbol[ord(text)] = i
+        place = {score: k for k, score in enumerate(sorted({s for s, _ in rank.values()}, reverse=True))}
+
+        def of(text: str) -> int | None:
+            return int(self.symbol[ord(text)]) if len(text) == 1 else rank[text][1] if text in rank else None
+
+        rows = []
+        for text, (score, i) in rank.items():
+            for cut in range(1, len(text)):
+                left, right = of(text[:cut]), of(text[cut:])
+                if left is not None and right is not None:
+                    rows.append((left << self.BITS | right, place[score], i))
+        rows.sort()
+        self.keys, ranks, ids = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 3
+        self.ranks, self.ids = ranks.astype(np.int32), ids.astype(np.int32)
+        self.filter = np.zeros(1 << 22, bool)
+        self.filter[self._slot(self.keys)] = True
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
+
+    def _found(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and id of the piece that two symbols make; ``NONE`` where there is none (symbols below 0 are no symbols)."""
+        rank, made = np.full(left.shape, self.NONE), np.full(left.shape, -1, np.int32)
+        keys = (left.astype(np.int64) << self.BITS) | right
+        at = np.flatnonzero(self.filter[self._slot(keys)] & (left >= 0) & (right >= 0))
+        if len(at) and len(self.keys):
+            k = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)
+            same = self.keys[k] == keys[at]
+            rank[at[same]], made[at[same]] = self.ranks[k[same]], self.ids[k[same]]
+        return rank, made
+
+    def _merged(self, symbols: np.ndarray) -> np.ndarray:
+        """A row of symbols for each chunk, ended by -1, merged until no pair of a row makes a piece."""
+        n, width = symbols.shape
+        out = np.full((n, width), -1, np.int32)
+        row = np.arange(n)
+        flat_rank, flat_made = self._found(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())
+        rank, made = flat_rank.reshape(n, width - 1), flat_made.reshape(n, width - 1)
+        steps = np.arange(width)
+        while len(row):
+            at = rank.argmin(axis=1)
+            best = rank[np.arange(len(row)), at]
+            done = best == self.NONE
+            if done.any():
+                out[row[done]] = symbols[done]
+                row, symbols, rank, made, at = row[~done], symbols[~done], rank[~done], made[~done], at[~done]
+                if not len(row):
+                    break
+            here = np.arange(len(row))
+            # The right symbol of the pair goes, and all after it move up by one.
+            take = np.minimum(steps[None] + (steps[None] > at[:, None]), width - 1)
+            last = symbols[:, -1].copy()
+            merged = made[here, at]
+            symbols = np.take_along_axis(symbols, take, axis=1)
+            symbols[:, -1] = np.where(at == width - 1, last, -1)
+            symbols[here, at] = merged
+            take = np.minimum(steps[None, :-1] + (steps[None, :-1] > at[:, None]), width - 2)
+            rank, made = np.take_along_axis(rank, take, axis=1), np.take_along_axis(made, take, axis=1)
+            rank[:, -1], made[:, -1] = self.NONE, -1
+            for place in (at - 1, at):
+                ok = np.flatnonzero((place >= 0) & (place < width - 1))
+                rank[ok, place[ok]], made[ok, place[ok]] = self._found(symbols[ok, place[ok]], symbols[ok, place[ok] + 1])
+        return out
+
+    def ids_of(self, chunks: list[str], rows: int = 8192) -> list[bytes]:
+        """Ids (little-endian 32-bit) of each chunk of marked text."""
+        sizes = np.array([len(c) for c in chunks], np.int64)
+        found: list[bytes] = [b""] * len(chunks)
+        order = np.argsort(sizes, kind="stable")
+        short = order[sizes[order] <= CACHE_LONGEST]
+        lone: list[int] = order[len(short) :].tolist()
+        for lo in range(0, len(short), rows):
+            part = short[lo : lo + rows]
+            own = sizes[part]
+            width = int(own.max(initial=1)) + 1
+            symbols = np.full((len(part), width), -1, np.int32)
+            points = np.frombuffer("".join(chunks[k] for k in part.tolist()).encode("utf-32-le", "replace"), "<u4")
+            symbols[np.arange(width)[None] < own[:, None]] = self.symbol[points]
+            merged = self._merged(symbols)
+            strange = (merged >= self.AWAY).any(axis=1)
+            lone += part[strange].tolist()
+            counts = (merged >= 0).sum(axis=1)
+            data, edge = merged[merged >= 0].astype("<u4").tobytes(), np.r_[0, np.cumsum(counts)] * 4
+            for k, begin, end in zip(part.tolist(), edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                found[k] = data[begin:end]
+        for k in lone:  # long chunks, and those with characters that fall back to bytes
+            found[k] = np.array([i for i, _ in self.codec.segment(chunks[k])], "<u4").tobytes()
+        return found
+
+
 _CHUNK = re.compile(r" *[^ ]+| +")
 
 
@@ -316,6 +423,11 @@ def _chunks(text: str) -> list[str]:
     return [c[1:] if len(c) > 1 and c[1] != " " else c for c in _CHUNK.findall(" " + text)]
 
 
+def marked(chunk: str) -> str:
+    """The marked text of a chunk of :func:`_chunks`."""
+    return chunk.replace(" ", MARK) if chunk.startswith(" ") else MARK + chunk
+
+
 #: Characters of texts that are encoded in one go.
 GROUP = 2_000_000
 
@@ -379,12 +491,12 @@ def encoding_digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
             n, ids, decoded, spans = [], [], [], []
             end = np.array([c.eos], np.int64)
             for texts in grouped(plain_texts(batch.column(1))):
-                for pieces, lengths in c.encode_batch(texts):
+                for pieces, ends in c.encode_batch(texts):
                     all_ids = np.concatenate([pieces.astype(np.int64), end])
                     n.append(len(all_ids))
                     ids.append(hashlib.sha256(c.joined(all_ids).encode()).hexdigest())
                     decoded.append(hashlib.sha256(c.decode(all_ids.tolist()).encode()).hexdigest())
-                    spans.append(zlib.crc32(np.cumsum(lengths).astype("<i8").tobytes()))
+                    spans.append(zlib.crc32(ends.astype("<i8").tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), pa.array(spans, pa.int64())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"],

@@ -1,12 +1,14 @@
 import hashlib
+import random
 import struct
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from docmill.llm.sentencepiece_codec import CharacterMap, OffsetCodec, codec, encode_documents, encoding_digests
+from docmill.llm.sentencepiece_codec import MARK, CharacterMap, OffsetCodec, codec, encode_documents, encoding_digests
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
@@ -20,8 +22,10 @@ def agrees(text):
     assert c.decode([*ids, c.eos]) == LIBRARY.decode([*ids, c.eos])
     size = len(text.encode())
     assert [0, *ends] == [*begins, size] if ids else size == 0
-    whole, lengths = c._whole(text) if text else ([], [])
-    assert list(whole) == ids and [e - b for b, e in zip(begins, ends)] == list(lengths)
+    normal, source = c.normalize(text)
+    whole = c.segment(MARK + normal.replace(" ", MARK)) if text else []
+    edges = source[np.cumsum([0, *(n for _, n in whole)])].tolist() if text else [0]
+    assert [i for i, _ in whole] == ids and edges == ([begins[0], *ends] if ids else [0])
 
 
 def test_odd_texts_equal_the_library():
@@ -78,10 +82,29 @@ def test_longest_prefix_of_a_compiled_map():
     units = _double_array([(b"ab", 0), (b"abc", 2), ("ｱ".encode(), 5)])
     blob = struct.pack("<I", 4 * len(units)) + struct.pack(f"<{len(units)}I", *units) + replaced
     m = CharacterMap(blob)
-    assert m.longest(b"abcd", 0) == (3, b"YY") and m.longest(b"zabz", 1) == (2, b"X") and m.longest(b"b", 0) is None
+    length, value = m.longest(b"zabcdab")
+    assert length.tolist() == [0, 3, 0, 0, 0, 2, 0] and m.replacement(int(value[1])) == b"YY" and m.replacement(int(value[5])) == b"X"
     c = OffsetCodec(MODEL)
-    c.map, c.plain = m, False
+    c.map = m
     normal, source = c.normalize("qabcｱ!")
-    assert normal.decode() == "▁qYY▁!" and source.tolist() == [0, 0, 0, 0, 1, 1, 4, 4, 4, 7, 8]
-    _, begins, ends = c.encode_spans("qabcｱ!")
-    assert begins[0] == 0 and ends[-1] == 8 and begins[1:] == ends[:-1]
+    assert normal == "qYY !" and source.tolist() == [0, 0, 0, 0, 1, 1, 4, 4, 4, 7, 8]
+    ids, begins, ends = c.encode_spans("qabcｱ!")
+    assert ids == LIBRARY.encode("qYY !") and begins[0] == 0 and ends[-1] == 8 and begins[1:] == ends[:-1]
+    assert "".join(LIBRARY.id_to_piece(i) for i in ids) == "▁qYY▁!"
+
+
+def test_merging_in_batches_equals_the_library():
+    rng = random.Random(3)
+    parts = ["the", "ing", "Er", "tion", "é", "日本", "🙂", "x", "zz", "q", "ß", "0", "▁", "ther", "  ", "\n"]
+    words = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 12))) for _ in range(3000)] + ["x" * 64, "y" * 65, "ab" * 500]
+    words = [w.replace(" ", "").replace("▁", "") or "a" for w in words]
+    got = codec(MODEL)._merges.ids_of(["▁" + w for w in words], rows=700)
+    assert all(np.frombuffer(g, "<u4").tolist() == LIBRARY.encode(w) for g, w in zip(got, words))
+
+
+def test_squeezed_text_keeps_its_source():
+    c = OffsetCodec(MODEL)
+    c.squeeze = True
+    ids, begins, ends = c.encode_spans("  a   bc ")
+    assert ids == LIBRARY.encode("a bc") and begins[0] == 2 and ends[-1] == 9
+    assert c.encode_spans("   ") == ([], [], [])
