@@ -1,11 +1,13 @@
 """Secret scans: fixed patterns, and a battery of randomness tests for strings that no pattern names.
 
-A candidate string is given the smallest encoding that holds its characters (hex, letters, base32,
-base36, alphanumeric, base64; those of one case apart). Three tests ask whether it could be uniform random text of that
-encoding: chi-squared over equal slices of the alphabet, the number of runs above and below the alphabet's middle, and
-the correlation of neighbouring symbols. Their p-values are combined by Bonferroni; a string that fails them is left alone. The opposite hypothesis, ordinary writing, is a fixed
-letter model with persistent character classes; the likelihood ratio of uniform text against it is an e-value whose
-inverse is a valid p-value, and long strings earn small ones. Benjamini-Hochberg over the candidates of the document,
+A candidate string is given the smallest encoding that holds its characters (hex, letters, base32, base36, alphanumeric,
+base64; those of one case apart). Three tests ask whether it could be uniform random text of that encoding: chi-squared
+over equal slices of the alphabet, the number of runs above and below the alphabet's middle, and the correlation of
+neighbouring symbols. Bonferroni combines their p-values into one, the battery's; a string that the battery rejects is
+left alone. The opposite hypothesis, ordinary writing, is a fixed letter model with persistent character classes; the
+likelihood ratio of uniform text against it is an e-value. Times the battery's p-value, which is at most one, it is an
+e-value still, so its inverse is a valid p-value against ordinary writing that the battery shares in: the less uniform a
+string, the weaker its case. Long strings earn small p-values. Benjamini-Hochberg over the candidates of the document,
 with weights that grow with length, controls the share of false discoveries.
 """
 
@@ -54,6 +56,7 @@ CLASS_CHANCES = {
     "0": {"a": 0.04, "A": 0.04, "0": 0.87, "-": 0.05}, "-": {"a": 0.5, "A": 0.2, "0": 0.1, "-": 0.2},
 }
 ONE_CASE = ("letters", "LETTERS")
+#: The battery's combined p-value below which a string is no random text.
 BATTERY_LEVEL = 0.001
 FDR = 0.001
 _INDEX = {name: {c: i for i, c in enumerate(alphabet)} for name, alphabet in ENCODINGS.items()}
@@ -123,8 +126,8 @@ def random_strings(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, i
             continue
         token = m[0]
         encoding = infer_encoding(token)
-        evidence = writing_evidence(token, encoding) if encoding and 3 * min(battery(token, encoding)) >= BATTERY_LEVEL * 3 else -1.0
-        found.append((start, end, evidence))
+        uniform = min(1.0, 3 * min(battery(token, encoding))) if encoding else 0.0
+        found.append((start, end, writing_evidence(token, encoding) + math.log(uniform) if uniform >= BATTERY_LEVEL else -1.0))
     if not any(e > 0 for *_, e in found):
         return []
     weights = np.array([min(e - s, 256) for s, e, _ in found], float)
