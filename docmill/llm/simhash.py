@@ -7,9 +7,10 @@ these levels:
   fingerprints that differ in at most two bits agree on at least two of the four parts, so every linked pair meets in a
   node. A node with more than ``node_rows`` members is factored again over the bits that its mask leaves free, by the
   same argument, until at most 2**8 distinct members can share a node: memory is bounded and no pair is lost.
-* Inside a node members are sorted by Gray rank, and runs of 16 are summarised by the bits that all of them share
-  (mask and pattern). Two runs whose shared bits already differ in more than the radius are pruned together; only the
-  surviving runs are compared member by member.
+* Inside a node members are sorted by Gray rank, so that neighbours differ in few bits, and a tree is factored from that
+  order: runs of 16 are summarised by the bits that all of them share (mask and pattern), runs of 16 such runs again, up
+  to the root. Pairs of groups are followed from the top: what two groups differ in on the bits that both share is added
+  to what has accumulated above, and pairs beyond the radius are pruned with all their members.
 
 A node returns at most one edge per member (a spanning forest of the links found in it), never all pairs, and the
 forests are joined by distributed connected components.
@@ -32,6 +33,8 @@ from docmill.llm.components import connected_components
 
 #: Members of a node above which it is factored again.
 NODE_ROWS = 2048
+#: Unlike fingerprints that meet in a node of random bits on average: comparing them costs about what a further copy of a row does.
+NODE_SHARE = 64
 #: Members of a Gray-order run that share one summary.
 RUN = 16
 SEED = 42
@@ -174,33 +177,69 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int32)
 
 
+def gray_tree(members: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pattern and mask of the bits shared in each group of each level: the members, runs of them, runs of runs, up to one run.
+
+    Arrays are lanes by runs by members of a run; what fills the last run shares no bits.
+    """
+    ones = some = members.T
+    levels = []
+    while True:
+        pattern, mask = ones, ~(ones ^ some)
+        short = -pattern.shape[1] % RUN
+        levels.append(tuple(np.pad(x, ((0, 0), (0, short))).reshape(len(x), -1, RUN) for x in (pattern, mask)))
+        if pattern.shape[1] <= RUN:
+            return levels
+        starts = np.arange(0, pattern.shape[1], RUN)
+        ones, some = np.bitwise_and.reduceat(ones, starts, axis=1), np.bitwise_or.reduceat(some, starts, axis=1)
+
+
+#: Pairs of runs that are opened at a time.
+OPENED = 256
+
+
 def near_pairs(members: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs ``i < j`` of rows (uint64, one column a lane, in Gray order) that differ in at most ``radius`` bits.
 
-    Runs of 16 are compared first by the bits that all their members share: the difference that has accumulated there
-    bounds every member's difference from below, so whole runs are pruned together.
+    Follows pairs of groups of :func:`gray_tree` depth first. The difference accumulated on shared bits bounds that of
+    every pair of members from below; each level adds the bits that its groups share and the groups above do not.
     """
-    n = len(members)
-    if n <= RUN:
+    n, lanes = members.shape
+    if n <= RUN:  # the root is a leaf
         i, j = np.triu_indices(n, 1)
         near = _distance(members[i], members[j]) <= radius
         yield i[near], j[near]
         return
-    starts = np.arange(0, n, RUN)
-    ones = np.bitwise_and.reduceat(members, starts, axis=0)
-    some = np.bitwise_or.reduceat(members, starts, axis=0)
-    shared = ~(ones ^ some)
-    offsets = np.arange(RUN)
-    for a in range(len(starts)):
-        low = np.bitwise_count((ones[a] ^ ones[a:]) & shared[a] & shared[a:]).sum(axis=1)
-        for part in np.array_split(np.flatnonzero(low <= radius) + a, max(1, (len(starts) - a) // 4096)):
-            i = starts[a] + offsets
-            j = (starts[part][:, None] + offsets).ravel()
-            i, j = i[i < n], j[j < n]
-            near = _distance(members[i][:, None], members[j][None]) <= radius
-            near &= i[:, None] < j[None]
-            x, y = np.nonzero(near)
-            yield i[x], j[y]
+    levels = gray_tree(members)
+    root = np.zeros(1, np.int64)
+    held = [(len(levels) - 1, root, root, np.zeros(1, np.int16), np.zeros((lanes, 1), np.uint64))]
+    while held:
+        level, a, b, so_far, counted = held.pop()
+        if len(a) > OPENED:
+            held += [(level, a[lo : lo + OPENED], b[lo : lo + OPENED], so_far[lo : lo + OPENED], counted[:, lo : lo + OPENED]) for lo in range(0, len(a), OPENED)]
+            continue
+        pattern, mask = levels[level]
+        apart = np.zeros((len(a), RUN, RUN), np.int16)
+        apart += so_far[:, None, None] if level else 0
+        shared = []
+        for k in range(lanes):
+            differ = pattern[k, a][:, :, None] ^ pattern[k, b][:, None]
+            if level:  # members share all their bits
+                shared.append(mask[k, a][:, :, None] & mask[k, b][:, None])
+                differ &= shared[k] & ~counted[k][:, None, None]
+            apart += np.bitwise_count(differ)
+        p, i, j = np.nonzero(apart <= radius)
+        x, y = a[p] * RUN + i, b[p] * RUN + j
+        if not level:
+            good = (x < y) & (y < n)
+            if good.any():
+                yield x[good], y[good]
+            continue
+        size = levels[level - 1][0].shape[1]
+        good = np.flatnonzero((x <= y) & (y < size))
+        if len(good):
+            at = p[good], i[good], j[good]
+            held.append((level - 1, x[good], y[good], apart[at], np.stack([m[at] for m in shared])))
 
 
 def forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -283,7 +322,7 @@ def link_edges(distinct: DataFrame, lanes: int, radius: int, levels: list[list[l
     for shift in (1, 2, 4, 8, 16, 32):
         rank = rank.bitwiseXOR(F.shiftrightunsigned(rank, shift))
     found: DataFrame | None = None
-    rows = distinct.select("id", *names).withColumns({"gray": rank, "node": F.lit(0).cast("long"), "path": F.lit(0)})
+    rows = distinct.select("id", *names).withColumns({"node": F.lit(0).cast("long"), "path": F.lit(0)})
     for depth, masks in enumerate(levels):
         nested = depth > 0 and len(masks) % len(levels[depth - 1]) == 0 and len(masks) > len(levels[depth - 1])
         rows = _with_nodes(rows, lanes, masks, len(masks) // len(levels[depth - 1]) if nested else len(masks))
@@ -297,7 +336,7 @@ def link_edges(distinct: DataFrame, lanes: int, radius: int, levels: list[list[l
                 hot = None
             else:
                 small = rows.join(hot, "node", "left_anti")
-        dealt = small.select("node", "id", *names, "gray").repartition("node").sortWithinPartitions("node", "gray").drop("gray")
+        dealt = small.select("node", "id", *names).repartition("node").sortWithinPartitions("node", rank)
         edges = dealt.mapInArrow(_node_edges(lanes, radius), "a long, b long")
         found = edges if found is None else found.unionAll(edges)
         if hot is None:
@@ -459,7 +498,7 @@ def near_duplicate_classes(docs: DataFrame, width: int = 5, similarity: float =
     names = [f"f{k}" for k in range(lanes)]
     some = F.min(F.struct("doc_id", "text_hash")).alias("some")
     distinct = stored(marked.where("doc_id is not null").groupBy("id", "n", *names).agg(some).select("id", "n", *names, "some.*"), "distinct")
-    band = max(16, int(np.ceil(np.log2(max(2, distinct.count())))) - 2)
+    band = max(8, int(np.ceil(np.log2(max(2, distinct.count()) / NODE_SHARE))))
     count = band_count(bits, differ, radius, band, recall)
     candidates = connected_components(link_edges(distinct, lanes, radius, [band_masks(bits, band, count, 1)]))
     members = stored(distinct.join(candidates.toDF("id", "component"), "id"), "members")
