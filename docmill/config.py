@@ -7,6 +7,7 @@ import os
 from dataclasses import dataclass, fields
 from pathlib import Path
 
+from docmill.operators import candidates as cand
 from docmill.operators.dataset import Rules
 
 #: Folders of a workspace, relative to its root.
@@ -67,6 +68,44 @@ def load_prompts(path: str) -> Prompts:
     return Prompts(*[found[f.name] for f in fields(Prompts)])
 
 
+@dataclass(frozen=True)
+class Generation:
+    """Settings of candidate generation; what they hash to is kept with every candidate."""
+
+    top_k: int = 40
+    max_neighbors: int = 15
+    threshold: float = 0.0
+    max_qa: int = 2
+    #: Questions of a run over all documents (0: no limit), and whether documents have caps by their size.
+    limit: int = 60_000
+    document_caps: bool = True
+    languages: tuple[str, ...] = cand.LANGUAGES
+    trust_levels: tuple[str, ...] = cand.TRUST
+    roles: tuple[str, ...] = cand.ROLES
+    content_types: tuple[str, ...] = cand.CONTENT_TYPES
+    artifacts_excluded: tuple[str, ...] = ()
+    least_chars: int = cand.LEAST_CHARS
+    #: What is written down about the model.
+    llm: tuple[tuple[str, str], ...] = ()
+
+
+def load_generation(path: str) -> Generation:
+    """Settings of candidate generation from a file with ``filters``, ``neighbors``, ``sampling`` and ``llm``; what is absent keeps its default."""
+    given = read_json(path)
+    names = {
+        "languages": ("filters", "languages_allowed"), "trust_levels": ("filters", "trust_levels_allowed"), "roles": ("filters", "chunk_roles_allowed"), "content_types": ("filters", "content_types_allowed"),
+        "artifacts_excluded": ("filters", "artifact_roles_excluded"), "least_chars": ("filters", "min_content_chars"), "top_k": ("neighbors", "top_k_faiss"), "max_neighbors": ("neighbors", "max_neighbors"),
+        "threshold": ("neighbors", "similarity_threshold"), "limit": ("sampling", "global_qa_limit"), "max_qa": ("sampling", "max_qa_per_group"), "document_caps": ("sampling", "max_qa_per_document"),
+    }
+    found = {ours: given[part][name] for ours, (part, name) in names.items() if name in given.get(part, {})}
+    found = {k: tuple(v) if isinstance(v, list) else v for k, v in found.items()}
+    if "document_caps" in found:
+        found["document_caps"] = not (isinstance(found["document_caps"], int) and found["document_caps"] <= 0)
+    if "llm" in given:
+        found["llm"] = tuple(sorted((k, str(v)) for k, v in given["llm"].items()))
+    return Generation(**found)
+
+
 def load_rules(path: str) -> Rules:
     """Dataset rules of a file's ``filters``; what is absent keeps its default."""
     given = read_json(path).get("filters", {})

@@ -28,13 +28,18 @@ def one_of(value: Column, allowed: tuple[str, ...]) -> Column:
     return F.coalesce(value.isin(*allowed), F.lit(False)) if allowed else F.lit(True)
 
 
+def one_or_many(df: DataFrame, name: str, allowed: tuple[str, ...]) -> Column:
+    """Whether a column of ``df`` is allowed: one value by itself, a list if it shares one with the allowed."""
+    return (overlaps if df.schema[name].dataType.typeName() == "array" else one_of)(F.col(name), allowed)
+
+
 def is_anchor(
     language: Column, trust: Column, roles: Column, types: Column, artifacts: Column | None, content: Column, languages: tuple[str, ...] = LANGUAGES,
     trust_levels: tuple[str, ...] = TRUST, roles_allowed: tuple[str, ...] = ROLES, types_allowed: tuple[str, ...] = CONTENT_TYPES,
-    artifacts_excluded: tuple[str, ...] = (), least_chars: int = LEAST_CHARS,
+    artifacts_excluded: tuple[str, ...] = (), least_chars: int = LEAST_CHARS, trust_is_list: bool = False,
 ) -> Column:
-    """Whether questions are asked about a chunk."""
-    ok = one_of(language, languages) & one_of(trust, trust_levels) & overlaps(roles, roles_allowed) & overlaps(types, types_allowed)
+    """Whether questions are asked about a chunk; a list of trust levels (``trust_is_list``) must share one with the allowed."""
+    ok = one_of(language, languages) & (overlaps if trust_is_list else one_of)(trust, trust_levels) & overlaps(roles, roles_allowed) & overlaps(types, types_allowed)
     if artifacts is not None and artifacts_excluded:
         ok = ok & ~overlaps(artifacts, artifacts_excluded)
     return ok & ~is_blank(content) & (F.length(strip(content)) >= least_chars)
@@ -53,6 +58,18 @@ def within_budget(rows: DataFrame, doc: str, order: list[str], cap: Column) -> D
     return rows.withColumn("place", F.row_number().over(w)).where(F.col("place") <= cap)
 
 
+def within_question_budget(pairs: DataFrame, doc: str, order: list[str], remaining: Column, limit: int = 0) -> DataFrame:
+    """The first questions of each document, as many as ``remaining`` says, and of these the first ``limit`` (0: all) in the
+    order of documents. Only ``limit`` numbers of rows meet in one place, a count a document."""
+    place = F.row_number().over(Window.partitionBy(doc).orderBy(*order))
+    kept = pairs.withColumn("__place", place).where(F.col("__place") <= F.coalesce(remaining, F.lit(2**31 - 1)))
+    if limit <= 0:
+        return kept.drop("__place")
+    counts = kept.groupBy(doc).agg(F.count("*").alias("__n"))
+    before = counts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy(doc).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return kept.join(before.where(F.col("__before") < limit).select(doc, "__before"), doc).where(F.col("__before") + F.col("__place") <= limit).drop("__place", "__before")
+
+
 def not_done(rows: DataFrame, done: DataFrame, key: str = "anchor_chunk_id") -> DataFrame:
     """Rows whose key was not handled in an earlier run."""
     return rows.join(done.select(key).distinct(), key, "left_anti")
@@ -137,14 +154,53 @@ def evidence_ids(evidence: Column, context: Column) -> Column:
     return F.when(F.size(kept) == 0, context).otherwise(kept)
 
 
+def source_ref(chunk_id: Column, doc_id: Column, source_path: Column, title: Column, page_start: Column, page_end: Column) -> Column:
+    """What names a chunk's source: six fields, pages null where they are no numbers."""
+    return F.struct(
+        chunk_id.alias("chunk_id"), doc_id.alias("doc_id"), source_path.alias("source_path"), title.alias("title"),
+        page_start.try_cast("int").alias("page_start"), page_end.try_cast("int").alias("page_end"),
+    )
+
+
+def slim_chunk(chunks: DataFrame) -> Column:
+    """The eight fields of a chunk that a context needs; what a table lacks is null."""
+
+    def field(name: str) -> Column:
+        return F.col(name) if name in chunks.columns else F.lit(None).cast("string")
+
+    meta = [f.name for f in chunks.schema["meta"].dataType.fields] if "meta" in chunks.columns and chunks.schema["meta"].dataType.typeName() == "struct" else []
+    pages = [(F.col(f"meta.{p}") if p in meta else F.lit(None)).cast("string").alias(p) for p in ("page_start", "page_end")]
+    names = {"chunk_id": "chunk_id", "doc_id": "doc_id", "source_path": "source_path", "title": "title", "summary_short": "summary", "content": "content"}
+    return F.struct(*[field(n).alias(alias) for n, alias in names.items()], *pages)
+
+
+def ref_of(chunk: Column) -> Column:
+    """The source ref of a slim chunk."""
+    return source_ref(*[chunk[n] for n in ("chunk_id", "doc_id", "source_path", "title", "page_start", "page_end")])
+
+
+def valid_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.where(valid_pair(F.col("question"), F.col("answer"), F.col("difficulty")))
+
+
 def candidate_records(pairs: DataFrame) -> DataFrame:
-    """Candidate rows of answers (``anchor_chunk_id, anchor_doc_id, context, evidence, question, answer, difficulty, ...``)."""
-    numbered = pairs.where(valid_pair(F.col("question"), F.col("answer"), F.col("difficulty")))
+    """Candidate rows of answers (``anchor_chunk_id, anchor_doc_id, context, evidence, question, answer, difficulty, ...``).
+
+    With ``refs`` (the source refs of the context, in its order) the rows name their sources; ``workspace_file`` and
+    ``provenance`` are kept where there are any.
+    """
     q, a = strip(F.col("question")), strip(F.col("answer"))
     source = evidence_ids(F.col("evidence"), F.col("context"))
-    return numbered.select(
+    more = []
+    if "refs" in pairs.columns:
+        more = [
+            F.filter("refs", lambda r: F.array_contains(source, r["chunk_id"])).alias("source_refs"), F.col("refs").alias("context_refs"),
+            F.array_distinct(F.filter(F.transform("refs", lambda r: r["doc_id"]), lambda d: d.isNotNull())).alias("doc_ids"),
+        ]
+    more += [F.col(c) for c in ("workspace_file", "provenance") if c in pairs.columns]
+    return valid_pairs(pairs).select(
         candidate_id(F.col("anchor_chunk_id"), q, a, F.col("qa_idx")).alias("id"), "anchor_chunk_id", "anchor_doc_id", F.col("context").alias("context_chunks"),
-        source.alias("source_chunks"), q.alias("question"), a.alias("answer"), "difficulty", "language", "content_type", "domain", "trust_level",
+        source.alias("source_chunks"), q.alias("question"), a.alias("answer"), "difficulty", "language", "content_type", "domain", "trust_level", *more,
     )
 
 

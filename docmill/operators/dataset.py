@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.functions.hashing import fingerprint, hash_id, sequential_id
+from docmill.functions.records import is_object, kind
 from docmill.functions.text import detect_language, first_nonblank, is_blank, slug, strip
 from docmill.operators.candidates import CONTENT_TYPES, overlaps
 from docmill.operators.ordering import first_rows, number_rows
@@ -55,6 +56,11 @@ def reject_reason(rules: Rules = Rules()) -> Column:
     return F.coalesce(*[F.when(c, reason) for c, reason in checks])
 
 
+def valid_sample(rec: Column) -> Column:
+    """Whether an intermediate sample (a variant) has an instruction and an output that are strings."""
+    return F.coalesce(is_object(rec) & (kind(rec, "$.instruction") == "STRING") & (kind(rec, "$.output") == "STRING"), F.lit(False))
+
+
 def instruction_columns(version: str = "v1", input_value: str = "") -> list[Column]:
     """The sample's columns of a candidate."""
     domain = _texts(F.col("domain"))

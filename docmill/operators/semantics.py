@@ -78,6 +78,27 @@ def annotation_prompt(title: Column, text: Column, before: Column, after: Column
     )
 
 
+def chat_backend(url: str, model: str, system: str = "", timeout: float = 120.0, **options: float) -> Callable[[], Callable[[str], str | None]]:
+    """Backend of a chat server: a POST of messages as JSON, the answer's message content; null if the call fails.
+
+    ``options`` (temperature, top_p, num_ctx ...) go along. The factory is what :func:`with_model` takes.
+    """
+
+    def make() -> Callable[[str], str | None]:
+        import urllib.request
+
+        def ask(prompt: str) -> str | None:
+            messages = ([{"role": "system", "content": system}] if system else []) + [{"role": "user", "content": prompt}]
+            body = json.dumps({"model": model, "messages": messages, "stream": False, "options": options}).encode()
+            request = urllib.request.Request(url, body, {"Content-Type": "application/json"})
+            with urllib.request.urlopen(request, timeout=timeout) as reply:
+                return json.loads(reply.read())["message"]["content"]
+
+        return ask
+
+    return make
+
+
 def stub_backend(prompt: str) -> str | None:
     """A deterministic stand-in for a model: an object whose fields follow from the prompt's length."""
     n = len(prompt)
@@ -112,15 +133,30 @@ def with_model(df: DataFrame, prompt: str, answer: str, make_backend: Callable[[
 
 def after_rules(summary: Column, content: Column, has_heading: Column, has_table: Column) -> Column:
     """Summaries of headings, tables and very short chunks are dropped when they are short themselves."""
-    weak = has_heading | has_table | (F.length(strip(F.coalesce(content, F.lit("")))) < 40)
-    return F.when(weak & (F.length(summary) < 20), "").otherwise(summary)
+    return F.when(is_weak(content, has_heading, has_table) & (F.length(summary) < 20), "").otherwise(summary)
+
+
+def empty_reasons(content_type: Column, domain: Column, artifact_role: Column, said: Column, summary: Column, weak: Column) -> Column:
+    """Why fields are empty: the model gave nothing (of the roles, before any were added), or the rule for weak chunks took
+    the summary away; null where they are not."""
+    nothing = F.lit("llm_empty")
+    suppressed = weak & (F.length(said) < 20)
+    return F.struct(
+        F.when(F.size(content_type) == 0, nothing).alias("content_type"), F.when(F.size(domain) == 0, nothing).alias("domain"), F.when(F.size(artifact_role) == 0, nothing).alias("artifact_role"),
+        F.when(suppressed, "rule4_suppressed").when(summary == "", nothing).alias("summary_short"),
+    )
+
+
+def is_weak(content: Column, has_heading: Column, has_table: Column) -> Column:
+    return has_heading | has_table | (F.length(strip(F.coalesce(content, F.lit("")))) < 40)
 
 
-def empty_reason(values: Column, suppressed: Column | None = None) -> Column:
-    """Why a field is empty: the model gave nothing, or a rule took it away; null if it is not empty."""
-    empty = (values == "") if suppressed is not None else (F.size(values) == 0)
-    reason = F.when(empty, "llm_empty")
-    return F.when(suppressed, "rule4_suppressed").otherwise(reason) if suppressed is not None else reason
+def structural_roles(roles: Column, has_heading: Column, has_table: Column, allowed: tuple[str, ...] = tuple(TAXONOMY["artifact_role"])) -> Column:
+    """Roles with ``heading`` and ``table`` added for chunks that have one, where the taxonomy knows them."""
+    for role, has in (("heading", has_heading), ("table", has_table)):
+        if role in allowed:
+            roles = F.when(has & ~F.array_contains(roles, role), F.array_append(roles, role)).otherwise(roles)
+    return roles
 
 
 def annotate(chunks: DataFrame, make_backend: Callable[[], Callable[[str], str | None]] = lambda: stub_backend) -> DataFrame:
@@ -137,7 +173,10 @@ def annotate(chunks: DataFrame, make_backend: Callable[[], Callable[[str], str |
     out = answered.select(*[c for c in answered.columns if c not in fields], *[c.alias(name) for name, c in fields.items()])
     out = out.withColumn("mode", F.when((F.col("mode") == "llm") & F.col("raw").isNull(), "failed").otherwise(F.col("mode")))
     out = out.withColumn("trust_level", F.coalesce("known_trust", F.when(F.col("mode") != "failed", F.col("trust_level"))))
-    out = out.withColumn("summary_short", after_rules(F.col("summary_short"), F.col("content"), F.col("has_heading"), F.col("has_table")))
+    c = F.col
+    short = after_rules(c("summary_short"), c("content"), c("has_heading"), c("has_table"))
+    reasons = empty_reasons(c("content_type"), c("domain"), c("artifact_role"), c("summary_short"), short, is_weak(c("content"), c("has_heading"), c("has_table")))
+    out = out.withColumns({"empty_reasons": F.when(c("mode") == "llm", reasons), "summary_short": short, "artifact_role": structural_roles(c("artifact_role"), c("has_heading"), c("has_table"))})
     return out.drop("prompt", "answer", "raw", "known_trust", "prev_text", "next_text", "llm_text")
 
 

@@ -63,18 +63,24 @@ def counts_with_share(df: DataFrame, key: Column, name: str) -> DataFrame:
     return counted.withColumn("pct", 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
-def list_fill(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Rows ``field, nonempty, empty``: null and empty lists are empty."""
-    aggs = [F.count_if(F.coalesce(F.size(F.col(f)) > 0, F.lit(False))).alias(f) for f in fields]
-    wide = df.agg(F.count("*").alias("__rows"), *aggs)
-    parts = ", ".join(f"'{f}', `{f}`, `__rows` - `{f}`" for f in fields)
-    return wide.selectExpr(f"stack({len(fields)}, {parts}) AS (field, nonempty, empty)")
-
-
-def top_values(df: DataFrame, field: str, n: int = 15) -> DataFrame:
-    """The most frequent non-blank entries of a list column; ties by name."""
-    exploded = df.select(F.explode(field).alias("value")).where(F.trim("value") != "")
-    return exploded.groupBy("value").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(n)
+def list_fill(df: DataFrame, fields: list[str], malformed: dict[str, Column] | None = None) -> DataFrame:
+    """Rows ``field, nonempty, empty, malformed``: null and empty lists are empty; ``malformed`` says where a field holds
+    neither a list nor a scalar, which counts as empty too."""
+    bad = {f: (malformed or {}).get(f, F.lit(False)) for f in fields}
+    full = {f: F.coalesce(F.size(F.col(f)) > 0, F.lit(False)) & ~F.coalesce(bad[f], F.lit(False)) for f in fields}
+    wide = df.agg(F.count("*").alias("__rows"), *[F.count_if(full[f]).alias(f) for f in fields], *[F.count_if(bad[f]).alias(f"__bad_{f}") for f in fields])
+    parts = ", ".join(f"'{f}', `{f}`, `__rows` - `{f}`, `__bad_{f}`" for f in fields)
+    return wide.selectExpr(f"stack({len(fields)}, {parts}) AS (field, nonempty, empty, malformed)")
+
+
+def top_values(df: DataFrame, field: str, n: int = 15, seen: str | None = None) -> DataFrame:
+    """The most frequent non-blank entries of a list column; ties by first appearance in the order of ``seen``, or by name."""
+    if seen is None:
+        exploded = df.select(F.explode(field).alias("value")).where(F.trim("value") != "")
+        return exploded.groupBy("value").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(n)
+    exploded = df.select(F.col(seen).alias("seen"), F.posexplode(field).alias("place", "value")).where(F.trim("value") != "")
+    counted = exploded.groupBy("value").agg(F.count("*").alias("n"), F.min(F.struct("seen", "place")).alias("first"))
+    return counted.orderBy(F.desc("n"), "first").limit(n).drop("first")
 
 
 def document_rates(df: DataFrame, doc: str, flags: dict[str, Column], least: int = 1) -> DataFrame:

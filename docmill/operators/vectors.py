@@ -1,8 +1,8 @@
 """Exact nearest neighbours over a vector column, and what is done with the neighbours.
 
-A search takes a stated set of queries against all rows in blocks: members are dealt into blocks of bounded size, the
-queries visit every block, a block is scored by one matrix product and returns each query's best k, and a ranked window
-merges them. Nothing of unbounded size is broadcast or collected.
+A search takes a stated set of queries against all rows in blocks: members are dealt into blocks and queries into slices,
+both of bounded size, each slice visits every block, a block and a slice are scored by matrix products and give each query's
+best k, and a ranked window merges them. Nothing of unbounded size is broadcast, collected or held by a task.
 """
 
 from __future__ import annotations
@@ -14,7 +14,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 20_000
+from docmill.operators.candidates import one_of, overlaps
+
+#: Members of a block, and queries of a slice.
+BLOCK, SLICE = 20_000, 20_000
 
 
 def unit(vector: Column, epsilon: float = 0.0) -> Column:
@@ -72,12 +75,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "i
     """
     if metric not in ("ip", "l2"):
         raise ValueError(metric)
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where("id is not null and vec is not null")
-    n = blocks or max(8, -(-rows.count() // BLOCK))
-    members = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    asked = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where("id is not null and vec is not null")
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    found = members.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(_block_search(metric, k), "query_id long, neighbor_id long, score double")
+    def rows(table: DataFrame) -> DataFrame:
+        return table.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where("id is not null and vec is not null")
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def dealt(n: int) -> Column:
+        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+
+    n, m = blocks or max(8, -(-rows(vectors).count() // BLOCK)), max(1, -(-rows(queries).count() // SLICE))
+    members = rows(vectors).withColumn("block", dealt(n)).withColumn("slice", every(m))
+    asked = rows(queries).withColumn("slice", dealt(m)).withColumn("block", every(n))
+    found = members.groupBy("block", "slice").cogroup(asked.groupBy("block", "slice")).applyInPandas(_block_search(metric, k), "query_id long, neighbor_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score") if metric == "ip" else F.asc("score"), "neighbor_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
@@ -93,6 +103,27 @@ def resolve_ordinals(names: DataFrame, index: DataFrame) -> DataFrame:
     return names.join(keys, "key", "left")
 
 
+def neighbor_rules(
+    higher_is_better: bool = True, threshold: float = 0.0, languages: tuple[str, ...] = (), trust_levels: tuple[str, ...] = (), content_types: tuple[str, ...] = (),
+    artifacts_excluded: tuple[str, ...] = (), own_domain: str = "own_domain",
+) -> Column:
+    """Whether a neighbour (``score, language, trust_level, content_type, artifact_role, domain``) may join its anchor's context.
+
+    Its score meets the threshold in the metric's direction (0 sets none), its language, trust level and one of its content
+    types are allowed (no allowed ones allow all), it has no excluded artifact role, and it shares a domain with the anchor
+    (``own_domain``) if both have any.
+    """
+    c = F.col
+    score = F.coalesce(c("score").cast("double"), F.lit(0.0))
+    ok = (score >= threshold if higher_is_better else score <= threshold) if threshold > 0 else F.lit(True)
+    ok = ok & one_of(c("language"), languages) & one_of(c("trust_level"), trust_levels) & overlaps(c("content_type"), content_types)
+    if artifacts_excluded:
+        ok = ok & ~overlaps(c("artifact_role"), artifacts_excluded)
+    none = F.array().cast("array<string>")
+    mine, its = F.coalesce(c(own_domain), none), F.coalesce(c("domain"), none)
+    return ok & ((F.size(mine) == 0) | (F.size(its) == 0) | F.coalesce(F.arrays_overlap(mine, its), F.lit(False)))
+
+
 def eligible_neighbors(neighbors: DataFrame, conditions: Column, limit: int = 15, higher_is_better: bool = True) -> DataFrame:
     """Neighbours that meet the conditions, ranked anew and cut at ``limit``."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score") if higher_is_better else F.asc("score"), "rank")

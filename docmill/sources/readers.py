@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from docmill.functions.records import is_object, kind
 from docmill.functions.text import is_blank
+from docmill.schemas import TAXONOMY
+from docmill.storage import stored
 
 
 def parsed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -36,6 +38,66 @@ def read_jsonl(spark: SparkSession, path: str, pattern: str = "*.jsonl", recursi
     return parsed_lines(numbered.select("file", (F.col("__before") + F.col("__nth")).alias("line"), "value"))
 
 
+def read_json_files(spark: SparkSession, path: str) -> DataFrame:
+    """Rows ``file, line, value, rec, bad`` of whole ``.json`` files, each one value of any shape (line 1)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(path)
+    return parsed_lines(files.select(F.col("_metadata.file_path").alias("file"), F.lit(1).cast("long").alias("line"), F.decode("content", "UTF-8").alias("value"))).withColumn(
+        "bad", F.col("rec").isNull()
+    )
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Rows ``file, line, rec`` of every JSON value in the ``.json`` and ``.jsonl`` files under a folder.
+
+    Files hold a value a line, whatever their name; a ``.json`` file with lines that are none is read as one value, and if
+    it is none either, its good lines count.
+    """
+    lines = read_jsonl(spark, path, "*.json*").select("file", "line", "rec")
+    parted = stored(lines.where(F.col("rec").isNull() & F.col("file").endswith(".json")).select("file").distinct(), "parted_files")
+    good = lines.where(F.col("rec").isNotNull())
+    if parted.isEmpty():
+        return good
+    whole = read_json_files(spark, path).where(~F.col("bad")).join(parted, "file", "left_semi").select("file", "line", "rec")
+    return good.join(whole.select("file"), "file", "left_anti").unionByName(whole)
+
+
+def read_documents(spark: SparkSession, path: str, archives: bool = False) -> DataFrame:
+    """Rows ``file, line, place, chunk`` of every chunk under a folder, in values of any of the three shapes, without folders
+    named ``archive`` unless wanted."""
+    rows = read_records(spark, path)
+    return document_chunks(rows if archives else without_archives(rows))
+
+
+def read_semantic_file(spark: SparkSession, path: str) -> DataFrame:
+    """Rows ``file, line, rec`` of one file: lines of a ``.jsonl`` file or the elements of the list in a ``.json`` file.
+
+    A ``.json`` file without a list at its top gives no rows; another suffix raises.
+    """
+    if path.endswith(".jsonl"):
+        return good_records(read_jsonl(spark, path)).select("file", "line", "rec")
+    if not path.endswith(".json"):
+        raise ValueError(f"{path}: a .jsonl or .json file is needed")
+    items = F.try_variant_get("rec", "$", "array<variant>")
+    listed = read_json_files(spark, path).where(F.startswith(F.schema_of_variant("rec"), F.lit("ARRAY")))
+    return listed.select("file", F.posexplode(items).alias("line", "rec")).withColumn("line", F.col("line").cast("long") + 1)
+
+
+def first_files(rows: DataFrame, n: int, file: str = "file") -> DataFrame:
+    """Rows of the first ``n`` files by name, or all if ``n`` is 0."""
+    return rows.join(F.broadcast(rows.select(file).distinct().orderBy(file).limit(n)), file, "left_semi") if n > 0 else rows
+
+
+def file_shard(rows: DataFrame, shards: int, shard: int, file: str = "file") -> DataFrame:
+    """Rows of the files whose place among all files by name is ``shard`` modulo ``shards``."""
+    if shards < 1 or not 0 <= shard < shards:
+        raise ValueError("shards must be at least 1 and shard below it")
+    if shards == 1:
+        return rows
+    # One row a file.
+    names = rows.select(file).distinct().withColumn("__at", F.row_number().over(Window.orderBy(file)) - 1)
+    return rows.join(F.broadcast(names.where(F.col("__at") % shards == shard).select(file)), file, "left_semi")
+
+
 def good_records(rows: DataFrame) -> DataFrame:
     return rows.where(~F.col("bad"))
 
@@ -101,6 +163,26 @@ def pages_of(files: DataFrame, parse: Callable[[bytes], list[str]] = text_pages)
     return files.select("path", "content").mapInArrow(run, "path string, pages array<string>, error string")
 
 
+def taxonomy_ids(spark: SparkSession, folder: str, optional: tuple[str, ...] = ("chunk_role",)) -> dict[str, list[str]]:
+    """Ids of each taxonomy of a folder in their order, from ``field.json``; optional ones may be absent and are empty then."""
+    out = {}
+    for field in TAXONOMY:
+        if exists(spark, f"{folder}/{field}.json"):
+            out[field] = [r["id"] for r in read_taxonomy(spark, f"{folder}/{field}.json").collect() if r["id"]]  # a dimension of tens of ids
+        elif field in optional:
+            out[field] = []
+        else:
+            raise FileNotFoundError(f"{folder}/{field}.json")
+    return out
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or a folder with files under a path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.exists(target)) and (not fs.getFileStatus(target).isDirectory() or any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(target)))
+
+
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     """Rows ``id, label, description`` of a taxonomy file (one JSON list)."""
     return spark.read.schema("id STRING, label STRING, description STRING").option("multiLine", True).json(path)
@@ -113,9 +195,10 @@ def file_documents(rows: DataFrame, doc: Column, file: str = "file", line: str =
 
 
 def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
-    """Vectors with their metadata, and the index's configuration; raises if ordinals have gaps."""
+    """Vectors with their metadata, and the index's configuration (defaults where none is stored); raises if ordinals have gaps."""
     vectors = spark.read.parquet(f"{path}/vectors")
-    config = json.loads("".join(r[0] for r in spark.read.text(f"{path}/config").collect()))
+    sidecar = f"{path}/config/config.json"
+    config = json.loads("".join(r[0] for r in spark.read.text(sidecar).collect())) if exists(spark, sidecar) else {}
     seen = vectors.agg(F.count("*").alias("n"), F.max("faiss_id").alias("top"), F.count_distinct("faiss_id").alias("ids")).first()
     if seen["n"] and not seen["n"] == seen["ids"] == seen["top"] + 1:
         raise ValueError(f"index is incomplete: {seen['n']} rows, {seen['ids']} ordinals up to {seen['top']}")
@@ -127,8 +210,11 @@ def limited(rows: DataFrame, n: int, *order: str) -> DataFrame:
     return rows.orderBy(*order).limit(n) if n > 0 else rows
 
 
-def resolve_union(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Rows of both; of a key in both the right one counts (later files override earlier ones)."""
-    w = Window.partitionBy(key).orderBy(F.desc("__late"))
+def resolve_union(left: DataFrame, right: DataFrame, key: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of both; of a key in both the right one counts (later files override earlier ones).
+
+    Of rows of one side the last by ``order`` (file and line, say) counts.
+    """
+    late = [F.desc("__late"), *[F.desc(c) for c in order]]
     both = left.withColumn("__late", F.lit(0)).unionByName(right.withColumn("__late", F.lit(1)))
-    return both.withColumn("__nth", F.row_number().over(w)).where("__nth = 1").drop("__nth", "__late")
+    return both.withColumn("__nth", F.row_number().over(Window.partitionBy(key).orderBy(*late))).where("__nth = 1").drop("__nth", "__late")

@@ -9,13 +9,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> None:
-    """JSON lines, optionally a folder for each value of a column (which also stays in the rows)."""
-    if partition_by:
-        df = df.withColumn("__part", F.col(partition_by))
-        df.write.mode(mode).partitionBy("__part").option("ignoreNullFields", False).json(path)
-    else:
-        df.write.mode(mode).option("ignoreNullFields", False).json(path)
+def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", cluster_by: tuple[str, ...] = ()) -> None:
+    """JSON lines. With ``cluster_by`` rows of one value of its first column stand together in one file, in the order of the
+    others; files are as many as shuffle partitions, however many values there are."""
+    if cluster_by:
+        df = df.repartition(cluster_by[0]).sortWithinPartitions(*cluster_by)
+    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+
+
+def replace_jsonl(df: DataFrame, path: str) -> None:
+    """JSON lines in place of what ``path`` holds; a job may be stopped at any time.
+
+    The new folder is written beside the old one, the old one is moved aside, the new one takes its place, and then the old
+    one goes. What a stopped run left aside is brought back by :func:`recover`.
+    """
+    spark = df.sparkSession
+    recover(spark, path)
+    fresh, aside = f"{path.rstrip('/')}{FRESH}", f"{path.rstrip('/')}{ASIDE}"
+    write_jsonl(df, fresh)
+    fs, target = _fs(spark, path)
+    new, old = _fs(spark, fresh)[1], _fs(spark, aside)[1]
+    if fs.exists(target):
+        fs.rename(target, old)
+    fs.rename(new, target)
+    fs.delete(old, True)
+
+
+#: Names of the folders beside the one that is being replaced.
+FRESH, ASIDE = "._fresh", "._aside"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Brings back what was moved aside if a run was stopped before the new folder took its place, and removes leftovers."""
+    fs, target = _fs(spark, path)
+    fresh, aside = (_fs(spark, path.rstrip("/") + end)[1] for end in (FRESH, ASIDE))
+    if fs.exists(aside) and not fs.exists(target):
+        fs.rename(aside, target)
+    fs.delete(fresh, True)
+    fs.delete(aside, True)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -73,13 +104,22 @@ def counts_csv(df: DataFrame, path: str, maps: tuple[str, ...] = ()) -> None:
 
 
 def report(tables: dict[str, DataFrame], limit: int = 1000) -> dict[str, list[dict]]:
-    """Small aggregates as lists of rows for a JSON report; each is cut at ``limit`` rows."""
-    return {name: [json.loads(r) for r in df.limit(limit).toJSON().collect()] for name, df in tables.items()} if tables else {}
-
-
-def write_report(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> dict[str, list[dict]]:
-    """``path.json`` and ``path.txt`` of the aggregates."""
-    found = report(tables)
+    """Aggregates as lists of rows for a JSON report: the first ``limit`` rows of each, and under ``_cut`` the number of all
+    rows of those that have more."""
+    found, cut = {}, []
+    for name, df in tables.items():
+        rows = [json.loads(r) for r in df.limit(limit + 1).toJSON().collect()]
+        found[name] = rows[:limit]
+        if len(rows) > limit:
+            cut.append({"table": name, "rows": df.count(), "shown": limit})
+    return found | ({"_cut": cut} if cut else {})
+
+
+def write_report(spark: SparkSession, tables: dict[str, DataFrame], path: str, limit: int = 1000) -> dict[str, list[dict]]:
+    """``path.json`` and ``path.txt`` of the aggregates; tables longer than ``limit`` are written whole under ``path_tables``."""
+    found = report(tables, limit)
+    for row in found.get("_cut", []):
+        write_jsonl(tables[row["table"]], f"{path}_tables/{row['table']}")
     write_text(spark, f"{path}.json", json.dumps(found, ensure_ascii=False, indent=1))
     lines = [f"== {n} ==\n" + "\n".join("  ".join(f"{k}={v}" for k, v in r.items()) for r in rows) for n, rows in found.items()]
     write_text(spark, f"{path}.txt", "\n\n".join(lines) + "\n")

@@ -21,6 +21,69 @@ def test_json_lines_count_bad_rows(spark, tmp_path):
     assert [r["line"] for r in readers.good_records(kept).orderBy("line").collect()] == [1, 5]
 
 
+def test_documents_of_any_shape_and_file(spark, tmp_path):
+    (tmp_path / "Archive").mkdir()
+    (tmp_path / "a.jsonl").write_text('{"content":"a1"}\n[{"content":"a2"},{"text":"a3"},{"x":1}]\nbroken\n')
+    (tmp_path / "b.json").write_text(json.dumps([{"content": "b1"}, {"content": "b2"}], indent=2))
+    (tmp_path / "c.json").write_text(json.dumps({"chunks": [{"text": "c1"}]}, indent=1))
+    (tmp_path / "d.json").write_text('{"content":"d1"}\n{"content":"d2"}\n')
+    (tmp_path / "e.json").write_text('{"content":"e1"}\n{"broken\n')
+    (tmp_path / "Archive" / "f.json").write_text('{"content":"f1"}')
+    text = F.coalesce(F.try_variant_get("chunk", "$.content", "string"), F.try_variant_get("chunk", "$.text", "string"))
+    got = sorted(r[0] for r in readers.read_documents(spark, str(tmp_path)).select(text).collect())
+    assert got == ["a1", "a2", "a3", "b1", "b2", "c1", "d1", "d2", "e1"]
+    assert readers.read_documents(spark, str(tmp_path), archives=True).count() == 10
+    assert readers.read_semantic_file(spark, str(tmp_path / "b.json")).count() == 2 and readers.read_semantic_file(spark, str(tmp_path / "c.json")).count() == 0
+    assert readers.read_semantic_file(spark, str(tmp_path / "a.jsonl")).count() == 1
+    with pytest.raises(ValueError):
+        readers.read_semantic_file(spark, "x.txt")
+
+
+def test_first_files_and_file_shards(spark):
+    rows = spark.createDataFrame([(f"f{i}", i) for i in range(7) for _ in range(3)], "file string, x int")
+    assert {r["x"] for r in readers.first_files(rows, 2).collect()} == {0, 1} and readers.first_files(rows, 0).count() == 21
+    parts = [{r["x"] for r in readers.file_shard(rows, 3, k).collect()} for k in range(3)]
+    assert parts == [{0, 3, 6}, {1, 4}, {2, 5}] and readers.file_shard(rows, 1, 0).count() == 21
+    with pytest.raises(ValueError):
+        readers.file_shard(rows, 3, 3)
+
+
+def test_taxonomies_and_index_defaults(spark, tmp_path):
+    from docmill.schemas import TAXONOMY
+
+    for field in TAXONOMY:
+        if field != "chunk_role":
+            (tmp_path / f"{field}.json").write_text(json.dumps([{"id": f"{field}1", "label": "x"}, {"id": f"{field}2"}]))
+    ids = readers.taxonomy_ids(spark, str(tmp_path))
+    assert ids["domain"] == ["domain1", "domain2"] and ids["chunk_role"] == []
+    (tmp_path / "domain.json").unlink()
+    with pytest.raises(FileNotFoundError):
+        readers.taxonomy_ids(spark, str(tmp_path))
+    spark.createDataFrame([(0, [1.0])], "faiss_id long, embedding array<float>").write.parquet(str(tmp_path / "i" / "vectors"))
+    assert readers.read_index(spark, str(tmp_path / "i"))[1] == {"metric": "IP", "index_type": "IndexFlatIP", "normalized": True}
+
+
+def test_replacing_survives_a_stop(spark, tmp_path):
+    out = str(tmp_path / "out")
+    writers.replace_jsonl(spark.range(3), out)
+    writers.replace_jsonl(spark.range(5), out)
+    assert spark.read.json(out).count() == 5
+    (tmp_path / "out").rename(tmp_path / "out._aside")  # stopped between the two renames
+    writers.recover(spark, out)
+    assert spark.read.json(out).count() == 5 and not (tmp_path / "out._aside").exists()
+
+
+def test_later_rows_win_in_order(spark):
+    left = spark.createDataFrame([("a", 1, "l1"), ("a", 2, "l2"), ("b", 9, "l3")], "k string, line int, v string")
+    right = spark.createDataFrame([("b", 1, "r1"), ("b", 3, "r3"), ("b", 2, "r2")], "k string, line int, v string")
+    assert sorted((r["k"], r["v"]) for r in readers.resolve_union(left, right, "k", ("line",)).collect()) == [("a", "l2"), ("b", "r3")]
+
+
+def test_long_tables_are_written_whole(spark, tmp_path):
+    found = writers.write_report(spark, {"t": spark.range(30), "u": spark.range(2)}, str(tmp_path / "r"), limit=10)
+    assert len(found["t"]) == 10 and found["_cut"] == [{"table": "t", "rows": 30, "shown": 10}] and spark.read.json(str(tmp_path / "r_tables" / "t")).count() == 30
+
+
 def test_pages_isolate_failures(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"one\r\ntwo\fthree")
     (tmp_path / "b.pdf").write_bytes(b"bad")
