@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 
 def histogram(df: DataFrame, value: str) -> DataFrame:
-    """Rows ``v, f, upto`` in the order of values: value, frequency, how many values are at most ``v``."""
+    """Rows ``v, f, upto`` in the order of values: value, frequency, how many values are at most ``v``. Nulls are no values."""
     running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.groupBy(F.col(value).alias("v")).agg(F.count("*").alias("f")).withColumn("upto", F.sum("f").over(running))
+    return df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("f")).withColumn("upto", F.sum("f").over(running))
 
 
 def gini(df: DataFrame, value: str) -> DataFrame:
-    """One row ``gini``: 0 for equal values, for no values and for values that sum to nothing."""
-    h = histogram(df, value)
+    """One row ``gini`` of the values of 0 and more: 0 for equal values, for no values and for values that sum to nothing."""
+    h = histogram(df.where(F.col(value) >= 0), value)
     ranks = F.col("f") * (F.col("upto") - F.col("f")) + F.col("f") * (F.col("f") + 1) / 2
     sums = h.agg(F.sum(ranks * F.col("v")).alias("weighted"), F.sum(F.col("v") * F.col("f")).alias("total"), F.sum("f").alias("n"))
     g = F.try_divide(2 * F.col("weighted"), F.col("n") * F.col("total")) - F.try_divide(F.col("n") + 1, F.col("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docmill.schemas import TAXONOMY
@@ -89,10 +89,9 @@ CHUNKS = f"""chunks AS (
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user turn with the assistant turn that follows as a question-answer candidate of its conversation."""
     conv = table(spark, sf_dir, "conversations")
-    turns = conv.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    # A conversation is a handful of turns: it is one row, so turns meet without a window over a hot key.
-    pairs = F.filter(F.transform("turns", lambda t, i: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), t["text"].alias("q"), F.get("turns", i + 1).alias("next"))), lambda p: (p["role"] == "user") & (p["next"]["role"] == "assistant"))
-    rows = turns.select("conv_id", F.inline(F.transform(pairs, lambda p: F.struct(p["turn"].alias("turn"), p["q"].alias("question"), p["next"]["text"].alias("answer")))))
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    turns = conv.select("conv_id", "turn", "role", F.col("text").alias("question"), F.lead("text").over(w).alias("answer"), F.lead("role").over(w).alias("next_role"))
+    rows = turns.where("role = 'user' AND next_role = 'assistant'")
     c, none = F.col("conv_id"), F.array().cast("array<string>")
     return rows.select(
         F.lit("conversations").alias("file"),

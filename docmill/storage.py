@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,13 +60,21 @@ def drop_stored(spark: SparkSession, df: DataFrame) -> None:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Removes at its end every table that was stored inside; what is wanted later is stored after it."""
-    _OPEN.append([])
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Removes at its end every table that was stored inside, but those given to the function that it yields."""
+    made: list[str] = []
+    _OPEN.append(made)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept = {part for file in df.inputFiles() for part in file.split("/")}
+        made[:] = [folder for folder in made if folder.rsplit("/", 1)[1] not in kept]
+        return df
+
     try:
-        yield
+        yield keep
     finally:
-        for folder in _OPEN.pop():
+        _OPEN.pop()
+        for folder in made:
             _delete(spark, folder)
 
 

@@ -16,7 +16,7 @@ def values(spark, inputs, column, kind="string"):
 
 
 def numbers(spark, xs):
-    return spark.createDataFrame([(float(x),) for x in xs], "v double")
+    return spark.createDataFrame([(None if x is None else float(x),) for x in xs], "v double")
 
 
 def test_sentences_cut_at_any_white_space(spark):
@@ -67,6 +67,7 @@ def test_statistics(spark):
     assert numbers(spark, [1, 2, 3, 4]).agg(F.percentile("v", 0.9)).first()[0] == pytest.approx(3.7)
     assert statistics.gini(numbers(spark, [1, 2, 3, 4]), "v").first()[0] == pytest.approx(0.25)
     assert statistics.gini(numbers(spark, [0, 0]), "v").first()[0] == 0.0
+    assert statistics.gini(numbers(spark, [1, 2, 3, 4, -5, None]), "v").first()[0] == pytest.approx(0.25)
     assert statistics.gini(numbers(spark, []), "v").first()[0] == 0.0
     assert {round(r["share"], 6) for r in statistics.pareto_shares(numbers(spark, [10, 5, 3, 1, 1]), "v").collect()} == {0.5}
     assert statistics.nearest_ranks(numbers(spark, [10, 20, 30, 40, 50, 60]), "v", (0.9,)).first()["value"] == 50.0

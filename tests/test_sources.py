@@ -84,6 +84,19 @@ def test_long_tables_are_written_whole(spark, tmp_path):
     assert len(found["t"]) == 10 and found["_cut"] == [{"table": "t", "rows": 30, "shown": 10}] and spark.read.json(str(tmp_path / "r_tables" / "t")).count() == 30
 
 
+def test_scratch_tables_go_and_kept_ones_stay(spark):
+    from docmill.storage import drop_stored, scratch, stored
+
+    with scratch(spark) as keep:
+        gone = stored(spark.range(3), "a")
+        kept = keep(stored(gone.select((F.col("id") + 1).alias("id")), "b"))
+        files = [f.removeprefix("file:") for f in gone.inputFiles()]
+    assert kept.count() == 3 and not any(__import__("os").path.exists(f) for f in files)
+    files = [f.removeprefix("file:") for f in kept.inputFiles()]
+    drop_stored(spark, kept)
+    assert not any(__import__("os").path.exists(f) for f in files)
+
+
 def test_pages_isolate_failures(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"one\r\ntwo\fthree")
     (tmp_path / "b.pdf").write_bytes(b"bad")
