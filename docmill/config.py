@@ -92,6 +92,7 @@ class Generation:
 def load_generation(path: str) -> Generation:
     """Settings of candidate generation from a file with ``filters``, ``neighbors``, ``sampling`` and ``llm``; what is absent keeps its default."""
     given = read_json(path)
+    # The names in the file.
     names = {
         "languages": ("filters", "languages_allowed"), "trust_levels": ("filters", "trust_levels_allowed"), "roles": ("filters", "chunk_roles_allowed"), "content_types": ("filters", "content_types_allowed"),
         "artifacts_excluded": ("filters", "artifact_roles_excluded"), "least_chars": ("filters", "min_content_chars"), "top_k": ("neighbors", "top_k_faiss"), "max_neighbors": ("neighbors", "max_neighbors"),

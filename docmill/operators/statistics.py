@@ -106,5 +106,5 @@ def counter_maps(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def seeded_examples(df: DataFrame, key: str, n: int = 300, seed: int = 0) -> DataFrame:
-    """A reproducible sample of ``n`` rows: the smallest seeded hashes of the key."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
+    """A reproducible sample of ``n`` rows: the smallest digests of seed and key."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), F.col(key)).limit(n)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docmill.functions import text
 from docmill.functions.records import as_list, json_array, json_object, kind, semantic_first
+from docmill.operators import candidates as cand
 from docmill.operators import chunking, review, semantics, vectors
 from docmill.plans.catalog import CHUNKS, SQL_BLANK, SQL_LINES, chunks, query, sql_strip, table
 from docmill.plans.text_queries import SQL_BLOCK_TYPE
@@ -277,9 +278,28 @@ def join08_taxonomy_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks(spark, sf_dir).select("chunk_id", F.array_join(semantics.allowed_only(mixed, "domain", 3), ",").alias("domain"))
 
 
-@query()
+def _listed(field: str) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in TAXONOMY[field]) + "]"
+
+
+#: The stand-in model's answers follow from the length and the end of the prompt, which is made again here.
+_PROMPT_HEAD = "Classify the chunk. Answer with one JSON object.\n" + "\n".join(f"{field}: {', '.join(ids)}" for field, ids in TAXONOMY.items()) + "\nTitle: "
+_ANNOTATED = rf"""WITH t AS (SELECT *, turn % 2 = 0 AS heading, lag(text) OVER w AS before, lead(text, 1) OVER w AS one, lead(text, 2) OVER w AS two, {sql_strip("text")} AS s FROM conversations
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+  m AS (SELECT *, CASE WHEN conv_id % 5 = 0 THEN 'existing' WHEN length(s) < 5 THEN 'structural_rule1_short' WHEN regexp_matches(s, '^[0-9.\- ]+$') THEN 'structural_rule1_numeric'
+      WHEN regexp_matches(s, '(?i)^(Figure|Table|Fig\.|Tab\.)\s*\d') THEN 'structural_rule1_label' ELSE 'llm' END AS mode,
+    CASE WHEN heading AND length(s) < 80 THEN concat_ws(chr(10) || chr(10), text, nullif({sql_strip("one")}, ''), nullif({sql_strip("two")}, '')) ELSE text END AS read FROM t),
+  p AS (SELECT *, '{_PROMPT_HEAD}' || role || chr(10) || 'Before: ' || substr(coalesce({sql_strip("before")}, ''), 1, 1000) || chr(10) || 'After: ' || substr(coalesce({sql_strip("one")}, ''), 1, 1000) || chr(10) || 'Chunk: '
+    || substr({sql_strip("read")}, 1, 4000) AS prompt FROM m),
+  a AS (SELECT *, length(prompt) AS n, {sql_strip("substr(prompt, greatest(1, length(prompt) - 59))")} AS ending FROM p)
+  SELECT conv_id::VARCHAR AS doc_id, turn AS chunk_idx, mode, CASE WHEN mode = 'existing' THEN 'high' WHEN mode = 'llm' THEN {_listed("trust_level")}[n % 3 + 1] ELSE 'medium' END AS trust_level,
+    CASE WHEN mode = 'llm' THEN {_listed("language")}[n % 4 + 1] ELSE 'unknown' END AS language,
+    CASE WHEN mode = 'llm' AND NOT ((heading OR length(s) < 40) AND length(ending) < 20) THEN ending ELSE '' END AS summary_short, CASE WHEN mode = 'llm' THEN {_listed("content_type")}[n % 16 + 1] ELSE '' END AS content_type FROM a"""
+
+
+@query(_ANNOTATED)
 def udf01_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as documents annotated by the stand-in model; its answers are not SQL."""
+    """Conversations as documents annotated by the stand-in model."""
     rows = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("string").alias("doc_id"), F.col("turn").alias("chunk_idx"), F.col("text").alias("content"), F.col("role").alias("title"),
         (F.col("turn") % 2 == 0).alias("has_heading"), F.lit(False).alias("has_table"), F.when(F.col("conv_id") % 5 == 0, "high").alias("trust_level"),
@@ -344,9 +364,13 @@ def set01_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.agg(F.count("*").alias("n"), F.count_distinct("kind").alias("kinds"))
 
 
-@query("SELECT conv_id, count(*) AS refs FROM conversations WHERE role = 'user' GROUP BY conv_id")
+@query("""WITH t AS (SELECT conv_id, turn, role, count_if(role = 'user' AND turn % 3 = 0) OVER (PARTITION BY conv_id) AS named FROM conversations)
+  SELECT conv_id, string_agg(turn, ',' ORDER BY turn) AS refs FROM t WHERE named = 0 OR (role = 'user' AND turn % 3 = 0) GROUP BY conv_id""")
 def join11_evidence_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """References of the context that are evidence (here the user's turns)."""
-    groups = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_list(F.struct("turn", "role")).alias("refs"))
-    kept = F.filter("refs", lambda r: F.array_contains(F.array(F.lit("user")), r["role"]))
-    return groups.select("conv_id", F.size(kept).cast("long").alias("refs")).where("refs > 0")
+    """References of the context that are evidence: some of the user's turns and one that is not in the context, or all where none is named."""
+    turn = F.col("turn").cast("string")
+    named = F.when((F.col("role") == "user") & (F.col("turn") % 3 == 0), turn).otherwise("elsewhere")
+    groups = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", turn.alias("id")))).alias("context"), F.collect_list(named).alias("evidence"))
+    ids = F.transform("context", lambda c: c["id"])
+    kept = F.filter(ids, lambda i: F.array_contains(cand.evidence_ids(F.col("evidence"), ids), i))
+    return groups.select("conv_id", F.array_join(kept, ",").alias("refs"))

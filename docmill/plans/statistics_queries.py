@@ -147,9 +147,9 @@ def agg16_pareto_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statistics.pareto_shares(_per_user(spark, sf_dir), "n").withColumn("share", F.round("share", 6))
 
 
-@query()
+@query(f"WITH {CHUNKS} SELECT chunk_id, language FROM chunks WHERE language = 'unknown' ORDER BY md5('0:' || chunk_id), chunk_id LIMIT 300")
 def agg17_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A seeded sample of 300 chunks of unknown language: reproducible, but by a hash that SQL lacks."""
+    """A seeded sample of 300 chunks of unknown language."""
     return statistics.seeded_examples(chunks(spark, sf_dir).where("language = 'unknown'"), "chunk_id").select("chunk_id", "language")
 
 
