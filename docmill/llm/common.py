@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.storage import drop_stored, shared_dir, stored
+from docmill.storage import drop_stored, scratch, shared_dir, stored
 
-__all__ = ["drop_stored", "plain_texts", "shared_dir", "slices", "slim", "stored", "table"]
+__all__ = ["drop_stored", "local_file", "plain_texts", "scratch", "shared_dir", "slices", "slim", "stored", "table"]
 
 
 def slim(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -36,3 +37,12 @@ def plain_texts(column) -> list[str]:
     """Strings of an Arrow or pandas column; null counts as the empty text."""
     values = column.to_pylist() if hasattr(column, "to_pylist") else column.tolist()
     return ["" if v is None else v for v in values]
+
+
+def local_file(path: str) -> str:
+    """The tokenizer file where this process runs: as given if it is there, else the file of that name that is installed here."""
+    if os.path.exists(path):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path(os.path.basename(path))

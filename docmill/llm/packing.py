@@ -9,7 +9,8 @@ lengths, which has at most ``capacity`` entries however many documents there are
 
 Items of one length are interchangeable, so the plan moves runs of bins with equal gaps at once and is a short list of
 runs: length, first rank, count, first bin, offset. Each piece finds its place by its rank among the pieces of its
-length, which is counted per hash bucket with prefix sums, so no length, however common, meets in one task.
+length: it is counted where it is made, and prefix sums over the parts of the table add what came before, so no length,
+however common, meets in one task and no row is sorted for it.
 """
 
 from __future__ import annotations
@@ -22,17 +23,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docmill.llm.common import plain_texts, slices, slim, stored
+from docmill.llm.common import local_file, plain_texts, slices, slim, stored
 
 CAPACITY = 2048
 #: The id that ends every document.
 END_ID = 0
-#: Chunks remembered by a worker before it starts afresh, and the longest chunk remembered.
-CACHE_CHUNKS, CACHE_LONGEST = 120_000, 64
 #: How a byte-level tokenizer parts text before merging.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -47,9 +47,8 @@ def _byte_letters() -> dict[str, int]:
 class ByteTokenizer:
     """Ids of a byte-level BPE file of the ``tokenizers`` library, without special tokens added.
 
-    Text parts at white space into chunks that merge independently of each other; ids of chunks are remembered. New
-    chunks are merged by a rank table made from the same file; texts that hold an added token's string or separators that
-    libraries class differently go to the library whole.
+    Texts are merged by a rank table made from the same file; those that hold an added token's string or separators that
+    libraries class differently go to the library. Nothing is remembered between texts.
     """
 
     def __init__(self, path: str):
@@ -59,35 +58,11 @@ class ByteTokenizer:
         ranks = {bytes(letters[c] for c in token): i for token, i in self.library.get_vocab(with_added_tokens=False).items() if token not in added}
         self._merge = tiktoken.Encoding("bytes", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self._odd = re.compile("[\x1c-\x1f\x85]|" + "|".join(re.escape(a) for a in sorted(added)) if added else "[\x1c-\x1f\x85]")
-        self._known = _Known(self._merge)
 
     def ids(self, text: str) -> np.ndarray:
         if self._odd.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        if len(self._known) > CACHE_CHUNKS:
-            self._known.clear()
-        chunks = _CHUNK.findall(text)
-        out = np.frombuffer(b"".join(map(self._known.__getitem__, chunks)), "<u4")
-        for c in self._known.long:
-            self._known.pop(c, None)
-        self._known.long.clear()
-        return out
-
-
-#: A word with at most one space before it; white space but for its last character before a word; a last one alone.
-_CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s")
-
-
-class _Known(dict):
-    def __init__(self, merge):
-        super().__init__()
-        self.merge, self.long = merge, []
-
-    def __missing__(self, chunk: str) -> bytes:
-        out = self[chunk] = np.array(self.merge(chunk), "<u4").tobytes()
-        if len(chunk) > CACHE_LONGEST:
-            self.long.append(chunk)
-        return out
+        return np.array(self._merge(text), "<u4")
 
 
 _TOKENIZERS: dict[str, ByteTokenizer] = {}
@@ -95,7 +70,7 @@ _TOKENIZERS: dict[str, ByteTokenizer] = {}
 
 def tokenizer(path: str) -> ByteTokenizer:
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = ByteTokenizer(path)
+        _TOKENIZERS[path] = ByteTokenizer(local_file(path))
     return _TOKENIZERS[path]
 
 
@@ -106,13 +81,19 @@ def cut(total: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows ``doc_id, piece, start, length, ids_crc32`` of every document's tokens and end id; null text counts as empty."""
+    """Rows ``doc_id, piece, start, length, ids_crc32`` of every document's tokens and end id; null text counts as empty.
+
+    ``part`` and ``nth`` say in which task a piece was made and how many of its length that task made before; they hold for
+    what is written, and change if the rows are made again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(tokenizer_file)
         end = np.array([END_ID], "<u4")
+        made = np.zeros(capacity + 1, np.int64)
+        part = TaskContext.get().partitionId()
         for batch in slices(batches):
-            row, piece, start, length, crc = [], [], [], [], []
+            row, piece, start, length, crc, nth = [], [], [], [], [], []
             for k, text in enumerate(plain_texts(batch.column(1))):
                 ids = np.concatenate([tok.ids(text), end])
                 for n, (s, size) in enumerate(cut(len(ids), capacity)):
@@ -121,13 +102,15 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, id_co
                     start.append(s)
                     length.append(size)
                     crc.append(zlib.crc32(ids[s : s + size].tobytes()))
+                    nth.append(made[size])
+                    made[size] += 1
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc, nth)), pa.array(np.full(len(row), part, np.int32))],
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "nth", "part"],
             )
 
     source = slim(docs, [id_col, text_col]).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return source.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return source.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, nth long, part int")
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
@@ -197,15 +180,12 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return runs
 
 
-def place(pieces_df: DataFrame, capacity: int = CAPACITY, buckets: int | None = None) -> DataFrame:
-    """Adds ``sequence_id, offset`` to rows with ``doc_id, piece, length`` (at most ``capacity``)."""
-    spark = pieces_df.sparkSession
-    n = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # Dealt by where a row was made, so that rows that are alike spread over the buckets, and written before it is used twice.
-    bucketed = stored(pieces_df.withColumn("bucket", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")), "pieces")
-    counts = stored(bucketed.groupBy("length", "bucket").agg(F.count("*").alias("n")), "counts")  # at most capacity * buckets rows
-    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ranks_before"))
+def place(pieces_df: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32`` of :func:`pieces` with ``sequence_id, offset``."""
+    made = stored(pieces_df, "pieces")
+    counts = stored(made.groupBy("length", "part").agg(F.count("*").alias("n")), "counts")  # at most capacity rows a part
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ranks_before"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
     runs = np.array(plan(histogram, capacity), np.int64).reshape(-1, 5)
     order = np.lexsort((runs[:, 1], runs[:, 0]))
@@ -220,13 +200,10 @@ def place(pieces_df: DataFrame, capacity: int = CAPACITY, buckets: int | None =
             out = [pa.array(runs[at, 3] + rank - runs[at, 1]), pa.array(runs[at, 4])]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], names=[*batch.schema.names[:-1], "sequence_id", "offset"])
 
-    inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece")
-    ranked = (
-        bucketed.withColumn("nth", F.row_number().over(inside))
-        .join(offsets, ["length", "bucket"])
-        .select(*pieces_df.columns, (F.col("ranks_before") + F.col("nth") - 1).cast("long").alias("rank"))
-    )
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces_df.schema) + ", sequence_id long, offset long"
+    # The offsets grow with the parts of the table, so they are merged and never broadcast.
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    ranked = made.join(offsets.hint("merge"), ["length", "part"]).select(*columns, (F.col("ranks_before") + F.col("nth")).alias("rank"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in made.select(*columns).schema) + ", sequence_id long, offset long"
     return ranked.mapInArrow(run, schema)
 
 

@@ -22,6 +22,15 @@ def test_ids_equal_the_library():
         assert own.ids(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids, text
 
 
+def test_mixed_and_long_texts_equal_the_library():
+    own = ByteTokenizer(FILE)
+    rng = random.Random(4)
+    parts = ["the", " a", "'t", "don't", " 12", "é", "日本", "🙂", "\n", "  ", ".", "(x)", " _", "\u3000", "\xa0", "x" * 80, " " + "y" * 100]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 40))) for _ in range(600)]
+    texts += ["ab" * 50_000, " " * 30_000 + "a", "\n" * 20_000, " ".join(["word"] * 100_000)]
+    assert all(own.ids(t).tolist() == LIBRARY.encode(t, add_special_tokens=False).ids for t in texts)
+
+
 def test_cut():
     assert cut(5, 4) == [(0, 1), (1, 4)] and cut(4, 4) == [(0, 4)] and cut(3, 4) == [(0, 3)] and cut(8, 4) == [(0, 4), (4, 4)]
 
@@ -69,5 +78,18 @@ def test_every_token_is_placed_once(make_docs, odd_rows, capacity):
     assert len(bins) <= 1.1 * sum(r["length"] for r in got) / capacity + 1
 
 
+def test_hot_length_over_many_parts(spark):
+    """A third of the rows are alike, and some are cut, over 211 parts."""
+    docs = spark.createDataFrame([(i, "same text" if i % 3 == 0 else "w " * (i % 7000 if i % 90 == 1 else i % 40)) for i in range(3000)], "doc_id long, text string").repartition(211)
+    got = pack_documents(docs, FILE, 256).collect()
+    bins = collections.defaultdict(list)
+    for r in got:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for items in bins.values():
+        ends = np.cumsum([n for _, n in sorted(items)])
+        assert [o for o, _ in sorted(items)] == [0, *ends[:-1]] and ends[-1] <= 256
+    assert {r["doc_id"] for r in got} == set(range(3000)) and len(bins) <= 1.05 * sum(r["length"] for r in got) / 256 + 1
+
+
 def test_empty(make_docs):
     assert pack_documents(make_docs([]), FILE).collect() == []
