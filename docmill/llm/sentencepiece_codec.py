@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import plain_texts, slices, slim
+from docmill.llm.common import local_file, plain_texts, slices, slim
 
 #: Chunks remembered by a worker before it starts afresh.
 CACHE_CHUNKS = 200_000
@@ -332,6 +332,7 @@ class Merges:
         rows.sort()
         self.keys, ranks, ids = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 3
         self.ranks, self.ids = ranks.astype(np.int32), ids.astype(np.int32)
+        self.fallback: dict[int, list[int]] = {}
         self.filter = np.zeros(1 << 22, bool)
         self.filter[self._slot(self.keys)] = True
 
@@ -384,6 +385,12 @@ class Merges:
                 rank[ok, place[ok]], made[ok, place[ok]] = self._found(symbols[ok, place[ok]], symbols[ok, place[ok] + 1])
         return out
 
+    def _bytes(self, symbol: int) -> list[int]:
+        """Ids of the bytes of a character that is no piece."""
+        if symbol not in self.fallback:
+            self.fallback[symbol] = [self.codec.byte_ids[b] for b in chr(symbol - self.AWAY).encode("utf-8", "replace")]
+        return self.fallback[symbol]
+
     def ids_of(self, chunks: list[str], rows: int = 8192) -> list[bytes]:
         """Ids (little-endian 32-bit) of each chunk of marked text."""
         sizes = np.array([len(c) for c in chunks], np.int64)
@@ -399,13 +406,17 @@ class Merges:
             points = np.frombuffer("".join(chunks[k] for k in part.tolist()).encode("utf-32-le", "replace"), "<u4")
             symbols[np.arange(width)[None] < own[:, None]] = self.symbol[points]
             merged = self._merged(symbols)
-            strange = (merged >= self.AWAY).any(axis=1)
-            lone += part[strange].tolist()
+            strange = np.flatnonzero((merged >= self.AWAY).any(axis=1))
             counts = (merged >= 0).sum(axis=1)
             data, edge = merged[merged >= 0].astype("<u4").tobytes(), np.r_[0, np.cumsum(counts)] * 4
             for k, begin, end in zip(part.tolist(), edge[:-1].tolist(), edge[1:].tolist(), strict=True):
                 found[k] = data[begin:end]
-        for k in lone:  # long chunks, and those with characters that fall back to bytes
+            if self.codec.byte_ids:
+                for k, row in zip(part[strange].tolist(), merged[strange].tolist(), strict=True):
+                    found[k] = np.array([i for s in row if s >= 0 for i in (self._bytes(s) if s >= self.AWAY else (s,))], "<u4").tobytes()
+            else:
+                lone += part[strange].tolist()
+        for k in lone:
             found[k] = np.array([i for i, _ in self.codec.segment(chunks[k])], "<u4").tobytes()
         return found
 
@@ -451,7 +462,7 @@ _CODECS: dict[str, OffsetCodec] = {}
 def codec(path: str) -> OffsetCodec:
     """The codec of a model file, made once in a worker."""
     if path not in _CODECS:
-        _CODECS[path] = OffsetCodec(path)
+        _CODECS[path] = OffsetCodec(local_file(path))
     return _CODECS[path]
 
 
