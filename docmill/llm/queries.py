@@ -45,7 +45,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+    return warc.derive_pages(table(spark, sf_dir, "pages"))
 
 
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.llm.common import slim
+from docmill.llm.common import slices, slim
 
 VERSION = "WARC/1.1"
 #: Namespace of the record ids that are made from names, so that a rerun gives the same ids.
@@ -41,7 +41,7 @@ DERIVED_SCHEMA = (
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.DOTALL)
 _HIDDEN = re.compile(r"<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.DOTALL | re.IGNORECASE)
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.DOTALL | re.IGNORECASE)
-_LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.DOTALL | re.IGNORECASE)
+_LINK = re.compile(r"""<a\b(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.DOTALL | re.IGNORECASE)
 _BLOCK = re.compile(
     r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|"
     r"section|table|tbody|td|tfoot|th|thead|title|tr|ul|body)\b[^>]*>",
@@ -111,7 +111,8 @@ def _arrow(ddl: str) -> pa.Schema:
 
 
 def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """A response record for each page; null url and html count as empty, repeated pages give equal records."""
+    """A response record for each page; null url and html count as empty. Ids follow from page id, url and payload, so a rerun
+    gives the same ones, and repeated rows of a page, being one capture, give equal records."""
     schema = _arrow(RESPONSE_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,6 +153,18 @@ def derive(response_records: DataFrame) -> DataFrame:
     return slim(response_records, names).mapInArrow(run, DERIVED_SCHEMA)
 
 
+def derive_pages(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """:func:`derive` of :func:`responses` in one pass, so that payloads go to Python once and never come back."""
+    schema, names = _arrow(DERIVED_SCHEMA), [f.split()[0] for f in RESPONSE_SCHEMA.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = (make_response(i, u, h, date) for b in slices(batches, 64) for i, u, h in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        yield from _batches((d for r in made for d in derive_records(dict(zip(names, r, strict=True)))), schema)
+
+    source = slim(pages, [id_col, url_col, html_col]).toDF("page_id", "url", "html").withColumn("page_id", F.col("page_id").cast("long"))
+    return source.mapInArrow(run, DERIVED_SCHEMA)
+
+
 def serialize(headers: dict[str, object], block: bytes, compress: bool = True) -> bytes:
     """One record as it stands in a file, a gzip member of its own if ``compress``."""
     head = "".join(f"{k}: {v}\r\n" for k, v in headers.items() if v is not None)
@@ -178,52 +191,123 @@ def serialized(derived: DataFrame, compress: bool = True) -> DataFrame:
     return derived.mapInArrow(run, "page_id long, warc_type string, record binary")
 
 
-def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of each record of a file, plain or as gzip members; a cut record ends it."""
-    if data[:2] == b"\x1f\x8b":
-        whole = []
-        while data:
-            member = zlib.decompressobj(31)
-            try:
-                whole.append(member.decompress(data))
-            except zlib.error:
-                break
-            data = member.unused_data
-        data = b"".join(whole)
+#: Bytes of an archive that are unpacked at a time.
+STEP = 1 << 20
+Fault = tuple[int, str]
+
+
+def _unpacked(data: bytes, faults: list[Fault]) -> Iterator[bytes | None]:
+    """Content of a file in parts; gzip members one after the other. None stands where damage was skipped: a member that cannot
+    be read ends there, and reading goes on at the next member."""
+    if data[:2] != b"\x1f\x8b":
+        for at in range(0, len(data), STEP):
+            yield data[at : at + STEP]
+        return
     at = 0
-    while True:
-        at = data.find(b"WARC/", at)
-        end = data.find(b"\r\n\r\n", at)
-        if at < 0 or end < 0:
-            return
-        headers = {}
-        for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
-            name, _, value = line.partition(":")
-            headers[name.strip().lower()] = value.strip()
-        size = int(headers.get("content-length", "0") or 0) if headers.get("content-length", "0").isdigit() else 0
-        if end + 4 + size > len(data):
-            return
-        yield headers, data[end + 4 : end + 4 + size]
-        at = end + 4 + size
+    while at < len(data):
+        member, rest = zlib.decompressobj(31), memoryview(data)[at:]
+        try:
+            while not member.eof and len(rest):
+                part = member.decompress(rest[:STEP], STEP)
+                rest = rest[STEP:] if not member.unconsumed_tail else rest[len(rest[:STEP]) - len(member.unconsumed_tail) :]
+                if part:
+                    yield part
+            if not member.eof:
+                faults.append((at, "cut gzip member"))
+                yield None
+                return
+            at = len(data) - len(rest) - len(member.unused_data)
+        except zlib.error as e:
+            faults.append((at, f"damaged gzip member: {e}"))
+            yield None
+            found = data.find(b"\x1f\x8b\x08", at + 1)
+            at = found if found >= 0 else len(data)
+
+
+def parse_warc(data: bytes, faults: list[Fault] | None = None) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (names in lower case) and block of each record of a file, plain or in gzip members of any size.
+
+    Only the record at hand is held unpacked. Damaged members and cut records are skipped to the next member or record, and
+    noted in ``faults`` with the byte of the file (for members) or of the unpacked content (for records) where they begin.
+    """
+    faults = [] if faults is None else faults
+    held, gone = bytearray(), 0
+
+    def take(final: bool) -> Iterator[tuple[dict[str, str], bytes]]:
+        nonlocal gone
+        while True:
+            at = held.find(b"WARC/")
+            if at < 0:
+                drop = len(held) if final else max(0, len(held) - 4)
+                del held[:drop]
+                gone += drop
+                return
+            del held[:at]
+            gone += at
+            end = held.find(b"\r\n\r\n")
+            headers = {}
+            if end >= 0:
+                for line in held[:end].decode("utf-8", "replace").split("\r\n")[1:]:
+                    name, _, value = line.partition(":")
+                    headers[name.strip().lower()] = value.strip()
+            stated = headers.get("content-length", "0")
+            size = int(stated) if stated.isdigit() else 0
+            if end < 0 or end + 4 + size > len(held):
+                if not final:
+                    return
+                faults.append((gone, "cut record"))
+                del held[:5]
+                gone += 5
+                continue
+            yield headers, bytes(held[end + 4 : end + 4 + size])
+            del held[: end + 4 + size]
+            gone += end + 4 + size
+
+    for part in _unpacked(data, faults):
+        if part is not None:
+            held += part
+        yield from take(part is None)
+    yield from take(True)
+
+
+def _archives(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Response records of archive files (a file is one task's work) in the form that :func:`derive` takes; page_id is null."""
+    """Response records of archive files in the form that :func:`derive` takes; page_id is null.
+
+    A file is one task's work and at most 2 GB, as Spark reads it; its records are unpacked one at a time. What is damaged
+    is skipped and listed by :func:`archive_faults`.
+    """
     schema = _arrow(RESPONSE_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for b in batches:
-                for data in b.column(0).to_pylist():
-                    for h, block in parse_warc(data):
-                        if h.get("warc-type") == "response":
-                            head, _, payload = block.partition(b"\r\n\r\n")
-                            yield (
-                                None, h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-date"), h.get("content-type"),
-                                head.decode("utf-8", "replace") + "\r\n\r\n", payload.decode("utf-8", "replace"),
-                                h.get("warc-payload-digest") or digest(payload), h.get("warc-block-digest") or digest(block), len(block),
-                            )
-
-        yield from _batches(rows(), schema)
-
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("content").mapInArrow(run, RESPONSE_SCHEMA)
+            for b in slices(batches, 1):
+                for h, block in parse_warc(b.column(0)[0].as_py()):
+                    if h.get("warc-type") == "response":
+                        head, _, payload = block.partition(b"\r\n\r\n")
+                        yield (
+                            None, h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-date"), h.get("content-type"),
+                            head.decode("utf-8", "replace") + "\r\n\r\n", payload.decode("utf-8", "replace"),
+                            h.get("warc-payload-digest") or digest(payload), h.get("warc-block-digest") or digest(block), len(block),
+                        )
+
+        yield from _batches(rows(), schema, 32)
+
+    return _archives(spark, path).select("content").mapInArrow(run, RESPONSE_SCHEMA)
+
+
+def archive_faults(spark: SparkSession, path: str) -> DataFrame:
+    """Rows ``path, at, fault`` of what :func:`read_warc` skips."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1):
+            faults: list[Fault] = []
+            for _ in parse_warc(b.column(1)[0].as_py(), faults):
+                pass
+            name = b.column(0)[0].as_py()
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(faults), pa.string()), pa.array([f[0] for f in faults], pa.int64()), pa.array([f[1] for f in faults], pa.string())], names=["path", "at", "fault"])
+
+    return _archives(spark, path).select("path", "content").mapInArrow(run, "path string, at long, fault string")
