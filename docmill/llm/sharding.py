@@ -60,6 +60,8 @@ def shard_documents(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id",
         .withColumn("at", F.col("rows_before") + F.col("nth") - 1)
         .withColumn("shard", F.least(F.lit(n_shards - 1), F.expr(f"cast(middle * {n_shards} div all_bytes as int)")))
     )
+    # Slim rows, written once, so that ranks and prefixes are not computed again for the first row of each shard.
+    placed = stored(placed.select("doc_id", "size", "text_crc32", "shard", "at"), "placed")
     firsts = placed.groupBy("shard").agg(F.min("at").alias("first_at"))  # n_shards rows
     return placed.join(F.broadcast(firsts), "shard").select(
         "doc_id",
