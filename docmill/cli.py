@@ -24,6 +24,7 @@ def parser() -> argparse.ArgumentParser:
     for name, default in (("max-chars", 6000), ("min-chars", 400), ("sentence-overlap", 2)):
         ingest.add_argument(f"--{name}", type=int, default=default)
     annotate = sub.add_parser("annotate", help="chunks to annotated chunks (with the stand-in model where no server is named)")
+    annotate.add_argument("--taxonomy-dir", help="folder of the taxonomies (JSON lists of id, label, description)")
     _sharded(annotate, "--limit-files")
     _served(annotate, 120.0)
     embed = sub.add_parser("embed", help="annotated chunks to an index")
@@ -88,7 +89,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.stage == "ingest":
         jobs.ingest(spark, args.input_dir or w.path("raw"), args.output_dir or w.path("normalized"), args.suffix, max_chars=args.max_chars, min_chars=args.min_chars, overlap=args.sentence_overlap).show(truncate=False)
     elif args.stage == "annotate":
-        jobs.annotate(spark, w.path("normalized"), w.path("semantic"), _backend(args), args.files, args.num_shards, args.shard_id)
+        jobs.annotate(spark, w.path("normalized"), w.path("semantic"), _backend(args), args.files, args.num_shards, args.shard_id, args.taxonomy_dir)
     elif args.stage == "embed":
         print(jobs.embed(spark, w.path("semantic"), w.path("index"), exclude_unknown=args.exclude_unknown, normalize=args.normalize, limit=args.max_chunks, batch_size=args.batch_size, model=args.model))
     elif args.stage == "retrieve":

@@ -18,14 +18,23 @@ from docmill.schemas import TAXONOMY
 KEPT = {"content_type": 2, "domain": 3, "artifact_role": 3, "chunk_role": 2}
 
 
-def allowed_only(values: Column, field: str, limit: int | None = None) -> Column:
+#: Ids of each field, with labels and descriptions where they are known.
+Taxonomy = dict[str, list[tuple[str, str | None, str | None]]]
+PLAIN: Taxonomy = {field: [(i, None, None) for i in ids] for field, ids in TAXONOMY.items()}
+
+
+def ids_of(taxonomy: Taxonomy, field: str) -> list[str]:
+    return [i for i, _, _ in taxonomy.get(field, [])]
+
+
+def allowed_only(values: Column, field: str, limit: int | None = None, taxonomy: Taxonomy = PLAIN) -> Column:
     """Ids of the field's taxonomy in their order, each once, cut at ``limit``."""
-    allowed = F.array(*[F.lit(v) for v in TAXONOMY[field]])
+    allowed = F.array(*[F.lit(v) for v in ids_of(taxonomy, field)]).cast("array<string>")
     kept = F.array_distinct(F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.array_contains(allowed, v)))
     return F.slice(kept, 1, limit) if limit else kept
 
 
-def normalized_semantics(raw: Column) -> dict[str, Column]:
+def normalized_semantics(raw: Column, taxonomy: Taxonomy = PLAIN) -> dict[str, Column]:
     """Columns of a semantic object (a variant) held to the taxonomies; anything ill-typed becomes the field's default."""
 
     def list_only(field: str) -> Column:
@@ -40,10 +49,10 @@ def normalized_semantics(raw: Column) -> dict[str, Column]:
             F.to_json(F.struct(F.coalesce(F.try_variant_get(e, "$", "string"), F.lit("None")).alias("description")))
         ),
     )
-    out = {f: allowed_only(list_only(f), f, n) for f, n in KEPT.items()}
+    out = {f: allowed_only(list_only(f), f, n, taxonomy) for f, n in KEPT.items()}
     return out | {
-        "language": F.when(language.isin(TAXONOMY["language"]), language).otherwise("unknown"),
-        "trust_level": F.when(trust.isin(TAXONOMY["trust_level"]), trust).otherwise("medium"),
+        "language": F.when(language.isin(ids_of(taxonomy, "language")), language).otherwise("unknown"),
+        "trust_level": F.when(trust.isin(ids_of(taxonomy, "trust_level")), trust).otherwise("medium"),
         "summary_short": F.coalesce(strip(text_field(raw, "$.summary_short")), F.lit("")),
         "equations": described,
         "key_quantities": F.coalesce(list_only("key_quantities"), F.array().cast("array<string>")),
@@ -65,9 +74,18 @@ def annotation_text(chunks: DataFrame, doc: str = "doc_id", order: str = "chunk_
     return chunks.select("*", F.lag(text, 1).over(w).alias("prev_text"), one.alias("next_text"), F.when(extended, joined).otherwise(text).alias("llm_text"))
 
 
-def annotation_prompt(title: Column, text: Column, before: Column, after: Column, main_chars: int = 4000, side_chars: int = 1000) -> Column:
-    """Prompt of the classifier: the taxonomies (a constant), the title, the neighbours and the clipped text."""
-    lists = "\n".join(f"{field}: {', '.join(ids)}" for field, ids in TAXONOMY.items())
+def annotation_prompt(title: Column, text: Column, before: Column, after: Column, main_chars: int = 4000, side_chars: int = 1000, taxonomy: Taxonomy = PLAIN) -> Column:
+    """Prompt of the classifier: the taxonomies (a constant), the title, the neighbours and the clipped text.
+
+    A field whose entries have labels or descriptions is listed an entry a line.
+    """
+
+    def listed(entries: list[tuple[str, str | None, str | None]]) -> str:
+        if not any(label or text for _, label, text in entries):
+            return " " + ", ".join(i for i, _, _ in entries)
+        return "".join(f"\n- {i}" + (f" ({label})" if label else "") + (f": {text}" if text else "") for i, label, text in entries)
+
+    lists = "\n".join(f"{field}:{listed(entries)}" for field, entries in taxonomy.items())
 
     def clip(c: Column, n: int) -> Column:
         return F.substring(F.coalesce(strip(c), F.lit("")), 1, n)
@@ -159,16 +177,16 @@ def structural_roles(roles: Column, has_heading: Column, has_table: Column, allo
     return roles
 
 
-def annotate(chunks: DataFrame, make_backend: Callable[[], Callable[[str], str | None]] = lambda: stub_backend) -> DataFrame:
+def annotate(chunks: DataFrame, make_backend: Callable[[], Callable[[str], str | None]] = lambda: stub_backend, taxonomy: Taxonomy = PLAIN) -> DataFrame:
     """Chunks (doc_id, chunk_idx, content, title, has_heading, has_table, trust_level) with ``mode`` and semantic columns.
 
     Structural chunks and chunks annotated before never reach the model; a failed call leaves the row with mode ``failed``.
     """
     known = chunks.withColumnRenamed("trust_level", "known_trust")
     read = annotation_text(known).withColumn("mode", F.when(~needs_annotation(F.col("known_trust")), "existing").otherwise(F.coalesce(structural_mode(F.col("content")), F.lit("llm"))))
-    asked = read.withColumn("prompt", F.when(F.col("mode") == "llm", annotation_prompt(F.col("title"), F.col("llm_text"), F.col("prev_text"), F.col("next_text"))))
+    asked = read.withColumn("prompt", F.when(F.col("mode") == "llm", annotation_prompt(F.col("title"), F.col("llm_text"), F.col("prev_text"), F.col("next_text"), taxonomy=taxonomy)))
     answered = with_model(asked, "prompt", "answer", make_backend).withColumn("raw", json_object(F.col("answer")))
-    fields = normalized_semantics(F.col("raw"))
+    fields = normalized_semantics(F.col("raw"), taxonomy)
     # The annotation's fields take the place of what the record says of the same name.
     out = answered.select(*[c for c in answered.columns if c not in fields], *[c.alias(name) for name, c in fields.items()])
     out = out.withColumn("mode", F.when((F.col("mode") == "llm") & F.col("raw").isNull(), "failed").otherwise(F.col("mode")))
@@ -176,7 +194,7 @@ def annotate(chunks: DataFrame, make_backend: Callable[[], Callable[[str], str |
     c = F.col
     short = after_rules(c("summary_short"), c("content"), c("has_heading"), c("has_table"))
     reasons = empty_reasons(c("content_type"), c("domain"), c("artifact_role"), c("summary_short"), short, is_weak(c("content"), c("has_heading"), c("has_table")))
-    out = out.withColumns({"empty_reasons": F.when(c("mode") == "llm", reasons), "summary_short": short, "artifact_role": structural_roles(c("artifact_role"), c("has_heading"), c("has_table"))})
+    out = out.withColumns({"empty_reasons": F.when(c("mode") == "llm", reasons), "summary_short": short, "artifact_role": structural_roles(c("artifact_role"), c("has_heading"), c("has_table"), tuple(ids_of(taxonomy, "artifact_role")))})
     return out.drop("prompt", "answer", "raw", "known_trust", "prev_text", "next_text", "llm_text")
 
 

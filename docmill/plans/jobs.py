@@ -48,12 +48,13 @@ def ingest(spark: SparkSession, input_dir: str, output_dir: str, suffix: str = "
     return parsed.where("error is not null").select("path", "error")
 
 
-def annotate(spark: SparkSession, input_dir: str, output_dir: str, backend: Backend = lambda: semantics.stub_backend, files: int = 0, shards: int = 1, shard: int = 0) -> None:
+def annotate(spark: SparkSession, input_dir: str, output_dir: str, backend: Backend = lambda: semantics.stub_backend, files: int = 0, shards: int = 1, shard: int = 0, taxonomy_dir: str | None = None) -> None:
     """Normalised chunks to annotated ones; chunks that an earlier run annotated in ``output_dir`` keep what they have.
 
     Neighbours and headings look over all chunks, those that are done included. The new table is written beside the old one
     and then takes its place, so a run may be stopped at any time. ``files`` limits the files read, in the order of their
-    names, and ``shards`` and ``shard`` choose some of them.
+    names, and ``shards`` and ``shard`` choose some of them. ``taxonomy_dir`` holds the taxonomies with their labels; without
+    it the built-in ids hold.
     """
     writers.recover(spark, output_dir)
     chunks = spark.read.schema(NORMALIZED).json(input_dir).select("*", F.col("_metadata.file_path").alias("file"))
@@ -66,7 +67,8 @@ def annotate(spark: SparkSession, input_dir: str, output_dir: str, backend: Back
         known = rows.join(done.groupBy("chunk_id").agg(F.first("trust_level").alias("trust_level")), "chunk_id", "left")
     else:
         known = rows.withColumn("trust_level", F.lit(None).cast("string"))
-    made = semantics.annotate(known, backend).where("mode <> 'existing'").withColumn("language", F.coalesce("language", F.lit("unknown")))
+    taxonomy = readers.taxonomies(spark, taxonomy_dir) if taxonomy_dir else semantics.PLAIN
+    made = semantics.annotate(known, backend, taxonomy).where("mode <> 'existing'").withColumn("language", F.coalesce("language", F.lit("unknown")))
     if earlier:
         made = made.unionByName(spark.read.schema(made.schema).json(output_dir).where("trust_level is not null"))
     writers.replace_jsonl(stored(made, "annotated"), output_dir)

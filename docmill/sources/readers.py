@@ -163,12 +163,13 @@ def pages_of(files: DataFrame, parse: Callable[[bytes], list[str]] = text_pages)
     return files.select("path", "content").mapInArrow(run, "path string, pages array<string>, error string")
 
 
-def taxonomy_ids(spark: SparkSession, folder: str, optional: tuple[str, ...] = ("chunk_role",)) -> dict[str, list[str]]:
-    """Ids of each taxonomy of a folder in their order, from ``field.json``; optional ones may be absent and are empty then."""
+def taxonomies(spark: SparkSession, folder: str, optional: tuple[str, ...] = ("chunk_role",)) -> dict[str, list[tuple[str, str | None, str | None]]]:
+    """Entries (id, label, description) of each taxonomy of a folder in their order, from ``field.json``; optional ones may be
+    absent and are empty then."""
     out = {}
     for field in TAXONOMY:
         if exists(spark, f"{folder}/{field}.json"):
-            out[field] = [r["id"] for r in read_taxonomy(spark, f"{folder}/{field}.json").collect() if r["id"]]  # a dimension of tens of ids
+            out[field] = [(r["id"], r["label"], r["description"]) for r in read_taxonomy(spark, f"{folder}/{field}.json").collect() if r["id"]]  # a dimension of tens of ids
         elif field in optional:
             out[field] = []
         else:

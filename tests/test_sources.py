@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from docmill.operators import dataset
+from docmill.operators import dataset, semantics
 from docmill.schemas import CANDIDATE
 from docmill.sources import readers, writers
 from docmill.streaming import incremental
@@ -54,11 +54,18 @@ def test_taxonomies_and_index_defaults(spark, tmp_path):
     for field in TAXONOMY:
         if field != "chunk_role":
             (tmp_path / f"{field}.json").write_text(json.dumps([{"id": f"{field}1", "label": "x"}, {"id": f"{field}2"}]))
-    ids = readers.taxonomy_ids(spark, str(tmp_path))
-    assert ids["domain"] == ["domain1", "domain2"] and ids["chunk_role"] == []
+    found = readers.taxonomies(spark, str(tmp_path))
+    assert found["domain"] == [("domain1", "x", None), ("domain2", None, None)] and found["chunk_role"] == []
+    rows = spark.createDataFrame([("d", 1, "A text that is long enough.", "t", False, False, None)], "doc_id string, chunk_idx int, content string, title string, has_heading boolean, has_table boolean, trust_level string")
+
+    def answer():
+        return lambda prompt: json.dumps({"domain": ["domain2", "cfd"], "trust_level": "trust_level1", "summary_short": prompt[:200]})
+
+    got = semantics.annotate(rows, answer, found).first()
+    assert got["domain"] == ["domain2"] and got["trust_level"] == "trust_level1" and "- content_type1 (x)" in got["summary_short"]
     (tmp_path / "domain.json").unlink()
     with pytest.raises(FileNotFoundError):
-        readers.taxonomy_ids(spark, str(tmp_path))
+        readers.taxonomies(spark, str(tmp_path))
     spark.createDataFrame([(0, [1.0])], "faiss_id long, embedding array<float>").write.parquet(str(tmp_path / "i" / "vectors"))
     assert readers.read_index(spark, str(tmp_path / "i"))[1] == {"metric": "IP", "index_type": "IndexFlatIP", "normalized": True}
 
