@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.llm import packing, quality, secrets, simhash, toxicity
-from docmill.llm.common import stored, table
+from docmill.llm.common import drop_stored, scratch, stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -68,8 +68,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of ``sf_dir``, each written to the shared folder before the next reads it."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages on the documents of ``sf_dir``, each written to the shared folder before the next reads it.
+
+    What a stage stored on its way goes when its result is written, and that result when the next stage's is. Nulls, empty and
+    very long texts, repeated rows and empty tables are what the stages make of them; an empty table gives no pieces.
+    """
+    docs, held = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with scratch(spark) as keep:
+            docs = keep(stored(stage(spark, docs, sf_dir), name))
+        if held is not None:
+            drop_stored(spark, held)
+        held = docs
     return STAGES[-1][1](spark, docs, sf_dir)
