@@ -259,17 +259,21 @@ def _text_features(text: str) -> np.ndarray:
     return np.unique(np.concatenate(parts))
 
 
-def _counted(features: list[np.ndarray], toxic: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys in at least ``LEAST_DOCS`` texts, and their numbers of texts by fold and label. Rare keys go by a small table first."""
-    bits = 22
-    seen = np.zeros(1 << bits, np.int16)
-    for f in features:
-        np.add.at(seen, (f >> np.uint64(64 - bits)).astype(np.int64), 1)
-    often = [f[seen[(f >> np.uint64(64 - bits)).astype(np.int64)] >= LEAST_DOCS] for f in features]
-    keys = np.unique(np.concatenate(often)) if often else np.zeros(0, np.uint64)
+def _counted(features: list[np.ndarray], toxic: np.ndarray, fold: np.ndarray, parts: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in at least ``LEAST_DOCS`` texts, and their numbers of texts by fold and label. Hashes are counted range by range."""
+    edges = np.array([k * (2**64 // parts) for k in range(1, parts)], np.uint64)
+    cuts = [np.r_[0, np.searchsorted(f, edges), len(f)] for f in features]
+    often = []
+    for k in range(parts):
+        h = np.sort(np.concatenate([f[c[k] : c[k + 1]] for f, c in zip(features, cuts, strict=True)]))
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
+        often.append(h[first[np.diff(np.r_[first, len(h)]) >= LEAST_DOCS]])
+    keys = np.concatenate(often)
     counts = np.zeros((FOLDS, 2, len(keys)), np.int32)
-    for f, y, k in zip(often, toxic, fold, strict=True):
-        counts[k, y, np.searchsorted(keys, f)] += 1
+    for f, y, k in zip(features, toxic, fold, strict=True):
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, f), len(keys) - 1)
+            counts[k, y, at[keys[at] == f]] += 1
     return keys, counts
 
 
@@ -309,9 +313,13 @@ def text_inputs(logit: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.ones(n), logit[order[place == 0]], mean, np.log(count)], axis=1)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 30) -> np.ndarray:
-    """Weights of a ridge logistic regression with classes of equal weight (Newton's method)."""
-    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+#: The share of toxic texts that the final score supposes; the sample itself has more of them than a corpus.
+TOXIC_SHARE = 0.2
+
+
+def logistic(x: np.ndarray, y: np.ndarray, share: float = TOXIC_SHARE, ridge: float = 1e-2, rounds: int = 30) -> np.ndarray:
+    """Weights of a ridge logistic regression in which label 1 has ``share`` of the weight (Newton's method)."""
+    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     w = np.zeros(x.shape[1])
     w[1] = 1.0
     for _ in range(rounds):
