@@ -14,6 +14,11 @@ from docmill.plans.catalog import CANDIDATES, CHUNKS, candidates, chunks, query,
 PLACES = 6
 
 
+def _rounded(x: F.Column) -> F.Column:
+    """Rounded as the SQL engine does, on the scaled number: Spark's own rounding takes the decimal digits, which differs at halves."""
+    return F.round(x * 10.0**PLACES) / 10.0**PLACES
+
+
 @query(r"""SELECT lang, count(*) AS docs, count_if(length(text) = 0) AS empty,
   round(avg(length(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g')) / length(text)), 6) AS alnum_ratio,
   round(avg(length(regexp_replace(text, '[^\s\x1c-\x1f\x{85}\p{Z}]', '', 'g')) / length(text)), 6) AS whitespace_ratio,
@@ -21,11 +26,12 @@ PLACES = 6
   round(avg(length(text)), 6) AS mean, round(median(length(text)), 6) AS median,
   round(quantile_cont(length(text), 0.9), 6) AS p90, round(quantile_cont(length(text), 0.99), 6) AS p99 FROM documents GROUP BY lang""")
 def str10_text_quality_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = table(spark, sf_dir, "documents").select("lang", *[c.alias(k) for k, c in text.ratios(F.col("text")).items()])
-    means = [F.round(F.avg(k), PLACES).alias(k) for k in ("alnum_ratio", "whitespace_ratio", "non_ascii_ratio")]
+    """A language with an empty text has no mean ratios (not a number). Null texts count as documents only; where all are null the rest is null."""
+    measured = table(spark, sf_dir, "documents").select("lang", *[c.alias(k) for k, c in text.ratios(F.col("text"), sql=True).items()])
+    means = [_rounded(F.avg(k)).alias(k) for k in ("alnum_ratio", "whitespace_ratio", "non_ascii_ratio")]
     return measured.groupBy("lang").agg(
-        F.count("*").alias("docs"), F.count_if(F.col("len_chars") == 0).alias("empty"), *means, F.round(F.avg("len_chars"), PLACES).alias("mean"),
-        F.round(F.median("len_chars"), PLACES).alias("median"), F.round(F.percentile("len_chars", 0.9), PLACES).alias("p90"), F.round(F.percentile("len_chars", 0.99), PLACES).alias("p99"),
+        F.count("*").alias("docs"), F.sum((F.col("len_chars") == 0).cast("long")).alias("empty"), *means, _rounded(F.avg("len_chars")).alias("mean"),
+        _rounded(F.median("len_chars")).alias("median"), _rounded(F.percentile("len_chars", 0.9)).alias("p90"), _rounded(F.percentile("len_chars", 0.99)).alias("p99"),
     )
 
 

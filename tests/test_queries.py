@@ -4,6 +4,8 @@ import math
 
 import duckdb
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from docmill.plans import registry
@@ -49,3 +51,14 @@ def test_entry_point_registers_everything(spark):
 
     assert set(registry.queries()) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).count() > 0
+
+
+def test_text_quality_of_odd_texts_equals_sql(spark, tmp_path):
+    """Null and empty texts, a vertical tab, letters newer than Java's, and means halfway between two roundings."""
+    texts = [("null", None), ("null", None), ("some", None), ("some", "a b"), (None, "é 1"), (None, None), ("empty", ""), ("empty", "ab"), ("tab", "a\x0bb \x0c\x85\x1c ")]
+    texts += [("new", "ࡰ\U00010570\U00011f02\U000323af ࢏\U0002ebf0"), ("ascii", "x" * 41 + "-" * 599), ("blank", " " * 41 + "-" * 599), ("beyond", "é" * 41 + "-" * 599)]
+    texts += [("mean", "x" * (1 + (i < 41))) for i in range(640)] + [("long", "y" * (i * i % 997 + 1)) for i in range(300)]
+    pq.write_table(pa.table({"doc_id": range(len(texts)), "text": [t for _, t in texts], "lang": [k for k, _ in texts]}), tmp_path / "documents.parquet")
+    want = duckdb.connect().sql(registry.oracle_sql()["str10_text_quality_by_lang"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet'"))
+    got = registry.queries()["str10_text_quality_by_lang"](spark, str(tmp_path)).select(*want.columns).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
